@@ -14,7 +14,6 @@ from shortfall.operators.prepare import NEAR_LANES
 from shortfall.operators.relational import (
     columns_like,
     count_where_in,
-    row_sum,
     salted_join,
     wide_to_long,
 )
@@ -55,13 +54,12 @@ def lane_unpivot(lane_wide: DataFrame) -> DataFrame:
 def tax_unpivot(tax_wide: DataFrame, sold: DataFrame, tax_enabled: bool = True) -> DataFrame:
     """Closed centres per sold product for tax reasons.
 
+    A product open at every centre has no closed one and drops out by itself.
     ``tax_enabled=False`` treats every centre as open.
     """
-    fcs = [c for c in tax_wide.columns if c != "FSN"]
-    partly_closed = tax_wide.where(row_sum(fcs) != len(fcs)).join(
-        sold.select(F.col("fsn").alias("FSN")).distinct(), "FSN", "left_semi"
-    )
-    closed = wide_to_long(partly_closed, ["FSN"], "FC", "tax_flg").where("tax_flg <> 1")
+    sold_products = sold.select(F.col("fsn").alias("FSN")).distinct()
+    closed = wide_to_long(tax_wide, ["FSN"], "FC", "tax_flg").where("tax_flg <> 1")
+    closed = closed.join(sold_products, "FSN", "left_semi")
     return closed if tax_enabled else closed.where(F.lit(False))
 
 
