@@ -65,10 +65,11 @@ def fc_split_ratio(supplied: DataFrame, strict_fanout: bool = False) -> DataFram
         counts = usable.groupBy(*PAIR).agg(F.count_distinct("fc").alias("fc_count"))
         shared = usable.select(*PAIR, "fc").join(counts, PAIR)
     else:
-        # centres of a pair are bounded by the lanes of its destination
-        per_pair = Window.partitionBy(*PAIR)
-        shared = (
-            usable.select(*PAIR, "fc").distinct().withColumn("fc_count", F.count("*").over(per_pair))
+        # one exchange by pair serves the distinct, the count and later joins by
+        # pair; the centres of a pair are bounded by the lanes of its destination
+        by_pair = usable.select(*PAIR, "fc").repartition(*PAIR)
+        shared = by_pair.distinct().withColumn(
+            "fc_count", F.count("*").over(Window.partitionBy(*PAIR))
         )
     return shared.select(*PAIR, "fc", (F.lit(1.0) / F.col("fc_count")).alias("ratio"))
 
@@ -80,6 +81,14 @@ def allocate_to_fc(ratio: DataFrame, pool: DataFrame) -> DataFrame:
     )
 
 
+def allocate_pool(ratio: DataFrame, pool: DataFrame) -> DataFrame:
+    """``allocate_to_fc`` without the rows that have nothing to allocate."""
+    open_pool = pool.where(F.col("fsn_dp_loss") > 0).select(*PAIR, "fsn_dp_loss")
+    return ratio.join(open_pool, PAIR).withColumn(
+        "fsn_dp_fc_loss", F.col("ratio") * F.col("fsn_dp_loss")
+    )
+
+
 def cascade(
     df: DataFrame,
     pool: str,
@@ -104,6 +113,27 @@ def cascade(
     return df.withColumn(residual, left).drop("__left")
 
 
+def issues_by_fc(
+    forecast: DataFrame, overrides: DataFrame, adherence: DataFrame
+) -> DataFrame:
+    """All issues per product and centre in one table, so the pool is joined once."""
+    keys = ["fsn", "fc"]
+    columns = [issue for _, issue in CAUSES]
+    parts = union_ragged(
+        forecast.select(*keys, "forecast_issue"),
+        overrides.select(*keys, *columns[1:5]),
+        adherence.select(*keys, "vendor_adherence_issue"),
+    )
+    return parts.groupBy(*keys).agg(*[sum_or_zero(c).alias(c) for c in columns])
+
+
+def cascade_issues(allocated: DataFrame, issues: DataFrame) -> DataFrame:
+    """``cascade_losses`` from the one table of ``issues_by_fc``."""
+    joined = allocated.join(issues, ["fsn", "fc"], "left")
+    filled = fill_zero(joined, ["fsn_dp_loss", "fsn_dp_fc_loss", *[i for _, i in CAUSES]])
+    return cascade(filled, "fsn_dp_fc_loss", CAUSES)
+
+
 def cascade_losses(
     allocated: DataFrame, forecast: DataFrame, overrides: DataFrame, adherence: DataFrame
 ) -> DataFrame:
@@ -143,6 +173,19 @@ def combine_losses(blocked: DataFrame, fe: DataFrame, by_destination: DataFrame)
     )
 
 
+def losses_of_pairs(
+    placement: DataFrame, pool: DataFrame, by_destination: DataFrame
+) -> DataFrame:
+    """``combine_losses`` where each table has one row per pair and the placement
+    table holds all pairs: two joins by pair instead of a union and a regrouping."""
+    is_blocked = F.coalesce(F.col("placement_loss") > 0, F.lit(False))
+    blocked = placement.select(
+        *PAIR, *[F.when(is_blocked, F.col(c)).otherwise(0.0).alias(c) for c in PLACEMENT_LOSSES]
+    )
+    joined = join_chain(blocked, [pool.select(*PAIR, "fe_loss"), by_destination], PAIR)
+    return fill_zero(joined, [*PLACEMENT_LOSSES, "fe_loss", *CASCADE_LOSSES, "residual"])
+
+
 def exclusion_after_fe(
     pool: DataFrame, fe_issue: DataFrame, exclusions: DataFrame
 ) -> DataFrame:

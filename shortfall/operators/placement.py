@@ -60,20 +60,30 @@ def supplied_fcs(
 ) -> DataFrame:
     """The candidates with at least one vendor.
 
-    Built from the vendor side: a pair meets the centres its product or its
-    brand is supplied at, and the lane check only thins them out. The work
-    follows the number of supplied candidates, not pairs times lanes.
+    Built from the vendor side: a product meets the centres it is supplied at,
+    and the centres a brand is supplied at are worked out once per destination,
+    not once per product. The lane check only thins them out, so the work
+    follows the number of supplied candidates, not pairs times lanes. A brand
+    that dominates a destination makes its join partition large on the side of
+    the pairs, which adaptive execution splits.
     """
     near = _near_fcs(lanes)
-    by_product = pairs.join(fsn_vendors, "fsn").select(
-        *SOLD_PAIR, "fc", F.col("fsn_vendor_count").alias("vendor_count")
+    by_product = (
+        pairs.join(fsn_vendors, "fsn")
+        .join(near, ["dest_pincode", "fc"], "left_semi")
+        .select(*SOLD_PAIR, "fc", F.col("fsn_vendor_count").alias("vendor_count"))
+    )
+    brand_fcs = (
+        pairs.select("brand", "vertical", "dest_pincode")
+        .distinct()
+        .join(brand_vendors, ["brand", "vertical"])
+        .join(near, ["dest_pincode", "fc"], "left_semi")
+    )
+    by_brand = pairs.join(brand_fcs, ["brand", "vertical", "dest_pincode"]).select(
+        *SOLD_PAIR, "fc", F.col("brand_vendor_count").alias("vendor_count")
     )
-    by_brand = salted_join(
-        pairs, brand_vendors, on=["brand", "vertical"], spread_by=["fsn", "dest_pincode"]
-    ).select(*SOLD_PAIR, "fc", F.col("brand_vendor_count").alias("vendor_count"))
     return (
         by_product.unionByName(by_brand)
-        .join(near, ["dest_pincode", "fc"], "left_semi")
         .groupBy(*SOLD_PAIR, "fc")
         .agg(F.sum("vendor_count").alias("vendor_count"))
     )

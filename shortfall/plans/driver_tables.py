@@ -40,9 +40,12 @@ class DriverTables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     # --- shared pieces -------------------------------------------------
 
@@ -330,11 +333,20 @@ class DriverTables:
             history=self.history,
         )
 
+    def staged(self) -> DriverTables:
+        """The same tables with the derived sales lines written once, as a real
+        sales extract would be, instead of joined anew by every branch."""
+        tables = type(self)(self.spark, self.sf_dir)
+        tables.sales = stage(self.sales, "sales")
+        return tables
+
     def run(self, staged: bool = False) -> WeeklyRun:
         options = WeeklyOptions(
             sales_by="day", explain_by_week=False, reco_keys=("fsn", "fc")
         )
-        return WeeklyRun(self.inputs, PERIOD, options, stage if staged else None)
+        if staged:
+            return WeeklyRun(self.staged().inputs, PERIOD, options, stage)
+        return WeeklyRun(self.inputs, PERIOD, options)
 
     @cached_property
     def weekly(self) -> WeeklyRun:

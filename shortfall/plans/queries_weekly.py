@@ -169,17 +169,30 @@ query("fc_split_ratio", f"SELECT {PAIR}, fc, {rounded(['ratio'])} FROM d_ratio")
 query(
     "allocate_to_fc",
     f"SELECT {PAIR}, fc, {rounded(['ratio', 'fsn_dp_loss', 'fsn_dp_fc_loss'])} FROM d_allocated",
-)(lambda t: t.weekly.allocated)
+)(lambda t: allocate.allocate_to_fc(t.weekly.ratio, t.weekly.pool))
+
+
+def _all_cascaded(t):
+    """The cascade with the rows that have nothing to allocate."""
+    w = t.weekly
+    return allocate.cascade_losses(
+        allocate.allocate_to_fc(w.ratio, w.pool),
+        w.forecast_issue,
+        w.override_issues,
+        w.adherence_issue,
+    )
+
+
 query(
     "cascade_losses",
     f"SELECT {PAIR}, fc, {rounded(['fsn_dp_fc_loss'])}, {CASCADE} FROM d_cascade",
 )(
-    lambda t: t.weekly.cascaded.select(
+    lambda t: _all_cascaded(t).select(
         "fsn", "dest_pincode", "fc", "fsn_dp_fc_loss", *CASCADE_LOSSES, "residual"
     )
 )
 query("cascade_by_fsn_dp", f"SELECT {PAIR}, {CASCADE} FROM d_by_dest")(
-    lambda t: t.weekly.by_destination
+    lambda t: allocate.cascade_by_destination(_all_cascaded(t))
 )
 query(
     "loss_union_sum",

@@ -49,8 +49,8 @@ class WeeklyRun:
 
     ``stage`` may be a function ``(frame, name) -> frame`` that writes a frame
     and reads it back (``shortfall.sources.stage.stage``). It is applied to the
-    frames several branches need: the sales cube, the supplied centres and the
-    placement table.
+    frames several branches need: the sales cube, the supplied centres, the
+    placement table, the plan at lead time, the issues and the pool.
     """
 
     def __init__(
@@ -175,11 +175,14 @@ class WeeklyRun:
 
     @cached_property
     def reco(self) -> DataFrame:
-        return issues.reco_at_lead_time(
-            prepare.requirement_clean(self.inputs.requirement),
-            self.lead_time,
-            self.options.reco_keys,
-            self.options.fallback,
+        return self._stage(
+            issues.reco_at_lead_time(
+                prepare.requirement_clean(self.inputs.requirement),
+                self.lead_time,
+                self.options.reco_keys,
+                self.options.fallback,
+            ),
+            "reco",
         )
 
     @cached_property
@@ -212,7 +215,8 @@ class WeeklyRun:
 
     @cached_property
     def pool(self) -> DataFrame:
-        return allocate.fe_loss_of_pairs(allocate.unblocked_pairs(self.placement), self.fe_issue)
+        unblocked = allocate.unblocked_pairs(self.placement)
+        return self._stage(allocate.fe_loss_of_pairs(unblocked, self.fe_issue), "pool")
 
     @cached_property
     def ratio(self) -> DataFrame:
@@ -220,12 +224,23 @@ class WeeklyRun:
 
     @cached_property
     def allocated(self) -> DataFrame:
-        return allocate.allocate_to_fc(self.ratio, self.pool)
+        return allocate.allocate_pool(self.ratio, self.pool)
 
     @cached_property
     def cascaded(self) -> DataFrame:
-        return allocate.cascade_losses(
-            self.allocated, self.forecast_issue, self.override_issues, self.adherence_issue
+        if self.options.strict_fanout:
+            return allocate.cascade_losses(
+                self.allocated, self.forecast_issue, self.override_issues, self.adherence_issue
+            )
+        return allocate.cascade_issues(self.allocated, self.issues)
+
+    @cached_property
+    def issues(self) -> DataFrame:
+        return self._stage(
+            allocate.issues_by_fc(
+                self.forecast_issue, self.override_issues, self.adherence_issue
+            ),
+            "issues",
         )
 
     @cached_property
@@ -234,7 +249,7 @@ class WeeklyRun:
 
     @cached_property
     def losses(self) -> DataFrame:
-        return allocate.combine_losses(self.blocked, self.pool, self.by_destination)
+        return allocate.losses_of_pairs(self.placement, self.pool, self.by_destination)
 
     @cached_property
     def offers(self) -> DataFrame:
