@@ -351,3 +351,7 @@ class DriverTables:
     @cached_property
     def weekly(self) -> WeeklyRun:
         return self.run()
+
+    @cached_property
+    def weekly_staged(self) -> WeeklyRun:
+        return self.run(staged=True)

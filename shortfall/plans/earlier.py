@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -37,10 +38,21 @@ class EarlierInputs:
 
 
 class EarlierRun:
-    """All frames of one run; each is built once, on first use."""
-
-    def __init__(self, inputs: EarlierInputs, period: Period, tax_enabled: bool = True):
+    """All frames of one run; each is built once, on first use.
+
+    ``stage`` works as in the weekly run; it is applied to the frames several
+    branches need: placement matrix, blocked pairs, lead times and plan.
+    """
+
+    def __init__(
+        self,
+        inputs: EarlierInputs,
+        period: Period,
+        tax_enabled: bool = True,
+        stage: Callable[[DataFrame, str], DataFrame] | None = None,
+    ):
         self.inputs, self.period, self.tax_enabled = inputs, period, tax_enabled
+        self._stage = stage or (lambda df, name: df)
 
     @cached_property
     def sales_fsn_dp(self) -> DataFrame:
@@ -58,13 +70,14 @@ class EarlierRun:
 
     @cached_property
     def matrix(self) -> DataFrame:
-        return matrix.placement_matrix(
+        flags = matrix.placement_matrix(
             self.pairs,
             matrix.lane_unpivot(self.inputs.lane_wide),
             matrix.tax_unpivot(self.inputs.tax_wide, self.inputs.sales, self.tax_enabled),
             matrix.u2s_unpivot(self.inputs.u2s_wide),
             matrix.vendor_unpivot(self.inputs.vendor_wide),
         )
+        return self._stage(flags, "matrix")
 
     @cached_property
     def ratio(self) -> DataFrame:
@@ -76,7 +89,8 @@ class EarlierRun:
 
     @cached_property
     def blocked(self) -> DataFrame:
-        return legacy.blocked_losses(self.sales_fsn_dp, self.availability, self.loss_class)
+        blocked = legacy.blocked_losses(self.sales_fsn_dp, self.availability, self.loss_class)
+        return self._stage(blocked, "blocked")
 
     @cached_property
     def ff_issue(self) -> DataFrame:
@@ -96,13 +110,15 @@ class EarlierRun:
 
     @cached_property
     def lead_time(self) -> DataFrame:
-        return legacy.policy_lead_time_floor(
+        lead = legacy.policy_lead_time_floor(
             self.inputs.leadtime_wide, self.products, self.inputs.cat_floor, self.period
         )
+        return self._stage(lead, "lead_time")
 
     @cached_property
     def reco(self) -> DataFrame:
-        return legacy.reco_agg(self.lead_time, self.inputs.reco_file, self.period.week_rule)
+        plan = legacy.reco_agg(self.lead_time, self.inputs.reco_file, self.period.week_rule)
+        return self._stage(plan, "plan")
 
     @cached_property
     def forecast_diff(self) -> DataFrame:

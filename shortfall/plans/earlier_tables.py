@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from shortfall.operators import warehouse
 from shortfall.plans.driver_tables import NATIONS, PERIOD, DriverTables, in_days, text
 from shortfall.plans.earlier import EarlierInputs, EarlierRun
+from shortfall.sources.stage import stage
 
 PO_SINCE = dt.date(1997, 1, 1)
 
@@ -345,27 +346,32 @@ class EarlierTables(DriverTables):
         )
 
     @cached_property
-    def earlier(self) -> EarlierRun:
-        return EarlierRun(
-            EarlierInputs(
-                sales=self.sales_g1,
-                lane_wide=self.lane_wide,
-                tax_wide=self.tax_wide,
-                vendor_wide=self.vendor_wide,
-                u2s_wide=self.u2s_wide,
-                leadtime_wide=self.leadtime_wide,
-                cat_floor=self.cat_floor,
-                preferred_wh=self.preferred_wh,
-                exclusions=self.exclusions_g1,
-                explain=self.explain_extract,
-                lane_static=self.lane_static,
-                lane_source=self.lane_source,
-                lane_tier=self.lane_tier,
-                reco_file=self.reco_file,
-                po_raised=self.po_raised,
-                po_receipts=self.po_receipts,
-                offers=self.offer_units,
-                low_sale=self.low_sale,
-            ),
-            PERIOD,
+    def earlier_inputs(self) -> EarlierInputs:
+        return EarlierInputs(
+            sales=self.sales_g1,
+            lane_wide=self.lane_wide,
+            tax_wide=self.tax_wide,
+            vendor_wide=self.vendor_wide,
+            u2s_wide=self.u2s_wide,
+            leadtime_wide=self.leadtime_wide,
+            cat_floor=self.cat_floor,
+            preferred_wh=self.preferred_wh,
+            exclusions=self.exclusions_g1,
+            explain=self.explain_extract,
+            lane_static=self.lane_static,
+            lane_source=self.lane_source,
+            lane_tier=self.lane_tier,
+            reco_file=self.reco_file,
+            po_raised=self.po_raised,
+            po_receipts=self.po_receipts,
+            offers=self.offer_units,
+            low_sale=self.low_sale,
         )
+
+    @cached_property
+    def earlier(self) -> EarlierRun:
+        return EarlierRun(self.earlier_inputs, PERIOD)
+
+    @cached_property
+    def earlier_staged(self) -> EarlierRun:
+        return EarlierRun(self.staged().earlier_inputs, PERIOD, stage=stage)

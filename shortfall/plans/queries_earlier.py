@@ -80,7 +80,7 @@ query(
         'adherence_loss', 'lead_time_loss', 'promotions_loss', 'residual'])}
         FROM (SELECT *, pool AS loss_post_ratio FROM g_cascade) x""",
 )(
-    lambda t: t.earlier.cascaded.select(
+    lambda t: t.earlier_staged.cascaded.select(
         "fsn", "dest_pincode", "FC", "loss_post_ratio", "forecast_error", "ndoh_loss",
         "exclusion_loss", "adherence_loss", "lead_time_loss", "promotions_loss", "residual",
     )
@@ -88,13 +88,13 @@ query(
 
 WATERFALL = f"""{PAIR}, sales, ru_sales, nat_sales, bu, super_category, category, sub_category, vertical, brand,
     {rounded([*legacy.BLOCKED_LOSSES, 'low_sale_depth_loss', *legacy.PLACED_LOSSES, 'residual'])}"""
-query("waterfall_g1", f"SELECT {WATERFALL} FROM g_waterfall")(lambda t: t.earlier.waterfall)
+query("waterfall_g1", f"SELECT {WATERFALL} FROM g_waterfall")(lambda t: t.earlier_staged.waterfall)
 query(
     "low_sale_override",
     f"""SELECT {PAIR}, {rounded(['low_sale_depth_loss', 'vendor_loss', 'ndoh_loss', 'residual'])}
         FROM g_waterfall WHERE low_sale_depth_loss > 0""",
 )(
-    lambda t: t.earlier.waterfall.where("low_sale_depth_loss > 0").select(
+    lambda t: t.earlier_staged.waterfall.where("low_sale_depth_loss > 0").select(
         "fsn", "dest_pincode", "low_sale_depth_loss", "vendor_loss", "ndoh_loss", "residual"
     )
 )
@@ -104,7 +104,7 @@ query(
     "SELECT bu, "
     + ", ".join(f"ROUND(CAST(SUM({c}) AS DOUBLE), 6) AS {c}" for c in BU)
     + " FROM g_waterfall GROUP BY bu",
-)(lambda t: legacy.waterfall_by_bu(t.earlier.waterfall))
+)(lambda t: legacy.waterfall_by_bu(t.earlier_staged.waterfall))
 query(
     "bu_share_pct",
     "SELECT bu, "
@@ -112,7 +112,7 @@ query(
         f"ROUND(CAST(SUM({c}) AS DOUBLE) * 100 / (SUM(ru_sales) + SUM(nat_sales)), 2) AS {c}_pct" for c in BU
     )
     + " FROM g_waterfall GROUP BY bu",
-)(lambda t: legacy.bu_share_pct(legacy.waterfall_by_bu(t.earlier.waterfall)))
+)(lambda t: legacy.bu_share_pct(legacy.waterfall_by_bu(t.earlier_staged.waterfall)))
 query(
     "enrich_output",
     f"""SELECT w.fsn, w.dest_pincode, nat_sales, {rounded(['residual'])}, p.p_name AS title, r.r_name AS "Zone",
@@ -121,7 +121,7 @@ query(
         LEFT JOIN nation n ON n.n_nationkey = w.dest_pincode LEFT JOIN region r ON r.r_regionkey = n.n_regionkey
         LEFT JOIN g_pref f ON f.dest_pincode = w.dest_pincode""",
 )(
-    lambda t: legacy.enrich_output(t.earlier.waterfall, t.titles, t.zones, t.lane_fcs).select(
+    lambda t: legacy.enrich_output(t.earlier_staged.waterfall, t.titles, t.zones, t.lane_fcs).select(
         "fsn", "dest_pincode", "nat_sales", "residual", "title", "Zone", "LZ-FC"
     )
 )

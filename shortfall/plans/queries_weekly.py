@@ -162,19 +162,19 @@ query("unblocked_sales", "SELECT * FROM d_unblocked")(lambda t: t.weekly.unblock
 query(
     "fe_loss",
     "SELECT fsn, dest_pincode, nat_sales, CAST(fe_loss AS DOUBLE) AS fe_loss, fsn_dp_loss FROM d_pool",
-)(lambda t: allocate.fe_loss(t.weekly.unblocked, t.weekly.fe_issue))
+)(lambda t: allocate.fe_loss(t.weekly_staged.unblocked, t.weekly_staged.fe_issue))
 query("fc_split_ratio", f"SELECT {PAIR}, fc, {rounded(['ratio'])} FROM d_ratio")(
     lambda t: t.weekly.ratio
 )
 query(
     "allocate_to_fc",
     f"SELECT {PAIR}, fc, {rounded(['ratio', 'fsn_dp_loss', 'fsn_dp_fc_loss'])} FROM d_allocated",
-)(lambda t: allocate.allocate_to_fc(t.weekly.ratio, t.weekly.pool))
+)(lambda t: allocate.allocate_to_fc(t.weekly_staged.ratio, t.weekly_staged.pool))
 
 
 def _all_cascaded(t):
     """The cascade with the rows that have nothing to allocate."""
-    w = t.weekly
+    w = t.weekly_staged
     return allocate.cascade_losses(
         allocate.allocate_to_fc(w.ratio, w.pool),
         w.forecast_issue,
@@ -199,7 +199,7 @@ query(
     f"SELECT {PAIR}, {rounded([*PLACEMENT_LOSSES, 'fe_loss'])}, {CASCADE} FROM d_losses",
 )(
     lambda t: allocate.combine_losses(
-        t.weekly.blocked, t.weekly.pool, t.weekly.by_destination
+        t.weekly_staged.blocked, t.weekly_staged.pool, t.weekly_staged.by_destination
     )
 )
 query("offer_sales_week", "SELECT * FROM a_offer")(lambda t: t.weekly.offers)
@@ -207,7 +207,7 @@ query(
     "promotions_excess",
     f"SELECT {PAIR}, offer_sales, {rounded(['promotions_loss', 'residual'])} FROM d_promo",
 )(
-    lambda t: t.weekly.with_promotions.select(
+    lambda t: t.weekly_staged.with_promotions.select(
         "fsn", "dest_pincode", "offer_sales", "promotions_loss", "residual"
     )
 )
@@ -219,7 +219,9 @@ query(
                l.residual - LEAST(l.residual, COALESCE(o.offer_sales, 0)) AS residual
         FROM d_losses l LEFT JOIN a_offer o ON o.fsn = l.fsn AND o.dest_pincode = l.dest_pincode) x""",
 )(
-    lambda t: waterfall.promotions_loss(t.weekly.losses, t.weekly.offers, "capped").select(
+    lambda t: waterfall.promotions_loss(
+        t.weekly_staged.losses, t.weekly_staged.offers, "capped"
+    ).select(
         "fsn", "dest_pincode", "offer_sales", "promotions_loss", "residual"
     )
 )
@@ -231,14 +233,14 @@ DETAIL_KEYS = (
 DETAIL_MEASURES = f"sales, ru_sales, nat_sales, unmapped_sales, {LOSSES}"
 
 query("waterfall_detail", f"SELECT {DETAIL_KEYS}, {DETAIL_MEASURES} FROM d_detail")(
-    lambda t: t.run(staged=True).detail
+    lambda t: t.weekly_staged.detail
 )
 query(
     "waterfall_totals",
     "SELECT 26 AS ru_computed_week, "
     + ", ".join(f"ROUND(SUM({c}), 6) AS {c}" for c in waterfall.MEASURES)
     + " FROM d_detail",
-)(lambda t: t.run(staged=True).totals)
+)(lambda t: t.weekly_staged.totals)
 query(
     "waterfall_output",
     f"""SELECT d.{DETAIL_KEYS.replace(', ', ', d.')}, sales, ru_sales, nat_sales, unmapped_sales, {LOSSES},
@@ -246,7 +248,7 @@ query(
         FROM d_detail d LEFT JOIN (SELECT DISTINCT fsn, product_id_key FROM a_sales) k ON k.fsn = d.fsn
         LEFT JOIN (SELECT DISTINCT dest_pincode, destination_pincode_key FROM a_sales) c ON c.dest_pincode = d.dest_pincode
         LEFT JOIN a_preferred p ON p.dest_pincode = d.dest_pincode""",
-)(lambda t: t.run(staged=True).output)
+)(lambda t: t.weekly_staged.output)
 
 SHARE_COLUMNS = [*PLACEMENT_LOSSES, "placement_loss"]
 query(
@@ -275,7 +277,7 @@ query(
             (SELECT SUM(serviceability_loss + vendor_loss + low_sale_depth_loss + exclusion_loss + fe_loss
                     + forecast_loss + ndoh_loss + ipc_override_loss + cdo_override_loss + po_loss
                     + vendor_adherence_loss + promotions_loss + residual) AS explained FROM d_detail) d""",
-)(lambda t: t.run(staged=True).checks)
+)(lambda t: t.weekly_staged.checks)
 
 query(
     "allocation_gap",
@@ -292,7 +294,9 @@ query(
                     GROUP BY 1, 2) m
               LEFT JOIN d_pool p ON p.fsn = m.fsn AND p.dest_pincode = m.dest_pincode) x
         WHERE ROUND(gap, 6) > 0 OR unmatched_rows > 0""",
-)(lambda t: quality.allocation_gap(t.weekly.ratio, t.weekly.pool, t.weekly.unblocked))
+)(lambda t: quality.allocation_gap(
+        t.weekly_staged.ratio, t.weekly_staged.pool, t.weekly_staged.unblocked
+    ))
 
 query(
     "exclusion_after_fe",

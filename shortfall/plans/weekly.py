@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -50,7 +51,8 @@ class WeeklyRun:
     ``stage`` may be a function ``(frame, name) -> frame`` that writes a frame
     and reads it back (``shortfall.sources.stage.stage``). It is applied to the
     frames several branches need: the sales cube, the supplied centres, the
-    placement table, the plan at lead time, the issues and the pool.
+    placement table, the lead times, the plan at lead time, the issues and the
+    pool.
     """
 
     def __init__(
@@ -61,6 +63,7 @@ class WeeklyRun:
         stage: Callable[[DataFrame, str], DataFrame] | None = None,
     ):
         self.inputs, self.period, self.options = inputs, period, options
+        self.staged = stage is not None
         self._stage = stage or (lambda df, name: df)
 
     @cached_property
@@ -169,8 +172,11 @@ class WeeklyRun:
 
     @cached_property
     def lead_time(self) -> DataFrame:
-        return prepare.policy_lead_time(
-            self.inputs.lead_time, self.products, self.inputs.cat_lead_time, self.period
+        return self._stage(
+            prepare.policy_lead_time(
+                self.inputs.lead_time, self.products, self.inputs.cat_lead_time, self.period
+            ),
+            "lead_time",
         )
 
     @cached_property
@@ -226,8 +232,22 @@ class WeeklyRun:
     def allocated(self) -> DataFrame:
         return allocate.allocate_pool(self.ratio, self.pool)
 
+    def _write_stages(self) -> None:
+        """Write the pool and the issues side by side; they share only the cube."""
+        if not self.staged or self.options.strict_fanout:
+            return
+        _ = self.cube, self.sales_fsn_dp, self.products
+        with ThreadPoolExecutor(2) as threads:
+            chains = [
+                threads.submit(getattr, self, "pool"),
+                threads.submit(getattr, self, "issues"),
+            ]
+            for chain in chains:
+                chain.result()
+
     @cached_property
     def cascaded(self) -> DataFrame:
+        self._write_stages()
         if self.options.strict_fanout:
             return allocate.cascade_losses(
                 self.allocated, self.forecast_issue, self.override_issues, self.adherence_issue
@@ -249,6 +269,7 @@ class WeeklyRun:
 
     @cached_property
     def losses(self) -> DataFrame:
+        self._write_stages()
         return allocate.losses_of_pairs(self.placement, self.pool, self.by_destination)
 
     @cached_property
