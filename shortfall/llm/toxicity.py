@@ -84,18 +84,20 @@ class ToxicityModel:
 
 
 def without_copies(texts: list[str]) -> list[str]:
-    """Texts that share few of their smallest word-pair hashes with an earlier one.
+    """Texts that share less than half of their smallest 3-word hashes with any earlier one.
 
     Copies would make the words of one text look typical of its class.
     """
-    seen: set[int] = set()
+    holders: dict[int, list[int]] = {}
     kept = []
-    for text in texts:
+    for number, text in enumerate(texts):
         got = words(text)
-        marks = set(sorted(crc32(" ".join(pair).encode()) for pair in zip(got, got[1:]))[:16])
-        if len(marks & seen) * 4 <= len(marks):
+        marks = sorted({crc32(" ".join(w).encode()) for w in zip(got, got[1:], got[2:])})[:16]
+        common = Counter(other for mark in marks for other in holders.get(mark, ()))
+        if max(common.values(), default=0) * 2 <= len(marks):
             kept.append(text)
-        seen |= marks
+            for mark in marks:
+                holders.setdefault(mark, []).append(number)
     return kept
 
 
