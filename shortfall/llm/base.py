@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,6 +24,18 @@ def crc_mod(column: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(column.cast("string"), F.lit(""))), F.lit(modulus))
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Rows of an Arrow batch while the block runs: whole texts can be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Store:
     """Tables below the folder that driver and executors share.
 

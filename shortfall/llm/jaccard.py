@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shortfall.llm.base import Store
+from shortfall.llm.base import Store, arrow_rows
 from shortfall.llm.components import connected_components
 from shortfall.llm.words import word_hashes
 
@@ -60,8 +60,8 @@ class Shingler:
 
 
 def class_id(hashes: np.ndarray) -> int | None:
-    """Hash of a whole set, null for the empty set."""
-    return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63) if len(hashes) else None
+    """Hash of a whole set, null for the empty set; its low three bits are left free."""
+    return (xxhash.xxh3_64_intdigest(hashes.tobytes()) & ~7) - (1 << 63) if len(hashes) else None
 
 
 def signed(hashes: np.ndarray) -> np.ndarray:
@@ -80,26 +80,41 @@ class Order:
     tokens: np.ndarray
     counts: np.ndarray
     threshold: int = 75
-    most_extra: int = 4
+    most_extra: int = 6
 
     def prefix(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-        """Prefix tokens, whether each is frequent, and the matches asked for."""
+        """Prefix tokens, whether each is frequent, and the matches asked for.
+
+        The estimated cost is what the listed tokens of the plain prefix occur
+        in, and a chance match for some tokens of the others. Its logarithm is
+        the number of further tokens, and of further matches asked for.
+        """
         n = len(hashes)
         need = needed(n, self.threshold)
-        at = np.searchsorted(self.tokens, hashes)
-        at[at == len(self.tokens)] = 0
-        hot = self.tokens[at] == hashes if len(self.tokens) else np.zeros(n, bool)
-        df = np.where(hot, self.counts[at] if len(self.tokens) else 0, 0)
+        if len(self.tokens):
+            at = np.searchsorted(self.tokens, hashes)
+            at[at == len(self.tokens)] = 0
+            hot = self.tokens[at] == hashes
+            df = np.where(hot, self.counts[at], 0)
+        else:
+            hot, df = np.zeros(n, bool), np.zeros(n, np.int64)
         order = np.concatenate(
             [np.flatnonzero(~hot), np.flatnonzero(hot)[np.argsort(df[hot], kind="stable")]]
         )
         plain = n - need + 1
-        cost = df[order[:plain]].sum() / plain
+        cost = df[order[:plain]].sum() / plain + plain / 12
         ask = int(min(1 + min(self.most_extra, np.log2(1 + cost)), need))
         use = order[: plain + ask - 1]
         return hashes[use], hot[use], ask
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of ``rows`` rows at most, so that a task's arrays stay small."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 PROFILE = "doc_id long, text_key long, n_shingles long, node long, token long, docs long"
 
 
@@ -111,7 +126,7 @@ def profiles(docs: DataFrame, shingler: Shingler, least: int = 3) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 3000):
             nodes, sizes, sets = [], [], {}
             for text in batch.column("text"):
                 hashes = shingler.hashes(text.as_py())
@@ -156,43 +171,75 @@ def frequent(counts: DataFrame, most: int, threshold: int) -> Order:
     return Order(tokens[order], top["docs"].to_numpy(np.int64)[order], threshold)
 
 
-PREFIX = "token long, hot boolean, node long, n long, ask int, text_key long"
+PREFIX = "token long, node long"
 
 
 def prefixes(docs: DataFrame, shingler: Shingler, order: Order) -> DataFrame:
-    """Rows of the prefix tokens of each set, once a set and batch."""
+    """Rows (token, node) of the prefix of each set, once a set and batch.
+
+    Rows are narrow, since there are many: a token's low bit says that it is
+    frequent, a node's low three bits are the matches it asks for.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1000):
             seen: set[int] = set()
-            parts = []
-            for key, text in zip(batch.column("text_key").to_pylist(), batch.column("text")):
+            tokens, nodes = [], []
+            for text in batch.column("text"):
                 hashes = shingler.hashes(text.as_py())
                 node = class_id(hashes)
                 if node is None or node in seen:
                     continue
                 seen.add(node)
-                tokens, hot, ask = order.prefix(hashes)
-                parts.append((signed(tokens), hot, node, len(hashes), ask, key))
-            if not parts:
-                continue
-            times = [len(p[0]) for p in parts]
-            fill = lambda i, kind: pa.array(np.repeat(np.array([p[i] for p in parts], kind), times))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([p[0] for p in parts])),
-                    pa.array(np.concatenate([p[1] for p in parts])),
-                    fill(2, np.int64),
-                    fill(3, np.int64),
-                    fill(4, np.int32),
-                    fill(5, np.int64),
-                ],
-                names=["token", "hot", "node", "n", "ask", "text_key"],
-            )
+                use, hot, ask = order.prefix(hashes)
+                tokens.append((signed(use) & ~1) | hot)
+                nodes.append(np.full(len(use), node + ask, np.int64))
+            if tokens:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(tokens)), pa.array(np.concatenate(nodes))],
+                    names=["token", "node"],
+                )
 
     return docs.mapInArrow(run, PREFIX)
 
 
+#: Words of a bitmap of text keys; it only spares the join texts that it can't need.
+BITMAP_WORDS = 1 << 18
+
+
+def texts_of(docs: DataFrame, pairs: DataFrame, classes: DataFrame, store: Store) -> DataFrame:
+    """Rows (node, text): one text of each class in ``pairs``.
+
+    ``docs``: text_key, text; ``classes``: node, text_key. A bitmap of the
+    wanted keys, of fixed size, keeps most other texts out of the shuffle.
+    """
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    keys = store.put(nodes.join(classes.select("node", "text_key"), "node"))
+    bit = F.pmod("text_key", F.lit(64 * BITMAP_WORDS))
+    word, place = (bit / 64).cast("int"), (bit % 64).cast("int")
+    bitmap = keys.groupBy(word.alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place)).alias("bits")
+    )
+    wanted = (
+        docs.filter("text is not null").withColumn("word", word)
+        .join(F.broadcast(bitmap), "word")
+        .filter(F.call_function("getbit", "bits", place) == 1)
+        .select("text_key", "text")
+    )
+    return store.put(wanted.join(keys, "text_key").dropDuplicates(["node"]).select("node", "text"))
+
+
+def of_like_size(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+    """Pairs whose set sizes allow the similarity."""
+    left = classes.select(F.col("node").alias("a"), F.col("n").alias("na"))
+    right = classes.select(F.col("node").alias("b"), F.col("n").alias("nb"))
+    return (
+        pairs.join(left, "a").join(right, "b")
+        .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * threshold)
+        .select("a", "b")
+    )
+
+
 def verified(pairs: DataFrame, texts: DataFrame, shingler: Shingler, threshold: int) -> DataFrame:
     """Pairs (a, b) of classes whose texts' exact shingle sets are similar enough."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("left"))
@@ -201,12 +248,13 @@ def verified(pairs: DataFrame, texts: DataFrame, shingler: Shingler, threshold:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, last_set = None, set()
-        for batch in batches:
+        for batch in slices(batches, 1000):
             a, b = [], []
-            for x, y, left, right in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for x, y, left, right in zip(*(batch.column(i) for i in range(4))):
+                x, y = x.as_py(), y.as_py()
                 if y != last:
-                    last, last_set = y, shingler.exact(right)
-                other = shingler.exact(left)
+                    last, last_set = y, shingler.exact(right.as_py())
+                other = shingler.exact(left.as_py())
                 shared = len(other & last_set)
                 if 100 * shared >= threshold * (len(other) + len(last_set) - shared):
                     a.append(x)
@@ -218,13 +266,13 @@ def verified(pairs: DataFrame, texts: DataFrame, shingler: Shingler, threshold:
     return both.mapInArrow(run, "a long, b long")
 
 
-def best_leaders(rows: DataFrame, threshold: int) -> DataFrame:
+def best_leaders(rows: DataFrame) -> DataFrame:
     """For each class one other class to try: the leader that most of its buckets share.
 
-    ``rows``: token, node, n, component. A bucket's leaders are its smallest
+    ``rows``: token, node, ask, component. A bucket's leaders are its smallest
     node and the smallest node of the last component in it. Linear in the rows.
     """
-    first = F.struct("component", "node", "n")
+    first = F.struct("component", "node", "ask")
     leaders = rows.groupBy("token").agg(F.min(first).alias("low"), F.max(first).alias("high"))
     tried = (
         rows.join(leaders, "token")
@@ -232,11 +280,9 @@ def best_leaders(rows: DataFrame, threshold: int) -> DataFrame:
             "leader", F.when(F.col("low.component") != F.col("component"), F.col("low")).otherwise(F.col("high"))
         )
         .filter(F.col("leader.component") != F.col("component"))
-        .filter(
-            F.least("n", "leader.n") * 100 >= F.greatest("n", "leader.n") * threshold
-        )
         .groupBy("node", F.col("leader.node").alias("leader"))
-        .agg(F.count(F.lit(1)).alias("shared"))
+        .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("ask", "leader.ask")).alias("ask"))
+        .filter("shared >= ask")
     )
     return (
         tried.groupBy("node")
@@ -246,7 +292,7 @@ def best_leaders(rows: DataFrame, threshold: int) -> DataFrame:
     )
 
 
-def remaining_pairs(rows: DataFrame, threshold: int) -> DataFrame:
+def remaining_pairs(rows: DataFrame) -> DataFrame:
     """All candidate pairs of classes that are still in different components.
 
     In each bucket the rows outside its largest component meet all others, so
@@ -254,16 +300,14 @@ def remaining_pairs(rows: DataFrame, threshold: int) -> DataFrame:
     """
     sizes = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("token").agg(
-        F.max_by("component", F.struct("size", "component")).alias("largest"),
-        F.count(F.lit(1)).alias("components"),
+        F.max_by("component", F.struct("size", "component")).alias("largest")
     )
-    rows = rows.join(largest.filter("components > 1"), "token")
+    rows = rows.join(largest, "token")
     rest = rows.filter("component != largest").select(
-        "token", *[F.col(c).alias(f"r_{c}") for c in ("node", "n", "ask", "component")]
+        "token", *[F.col(c).alias(f"r_{c}") for c in ("node", "ask", "component")]
     )
     met = rows.join(rest, "token").filter(
         "component != r_component and (component = largest or node < r_node)"
-        f" and least(n, r_n) * 100 >= greatest(n, r_n) * {threshold}"
     )
     return (
         met.groupBy(F.least("node", "r_node").alias("a"), F.greatest("node", "r_node").alias("b"))
@@ -279,7 +323,7 @@ def with_components(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
         rows = rows.withColumn("component", F.col("node"))
     else:
         rows = rows.join(labels, "node", "left").withColumn("component", F.coalesce("root", "node"))
-    rows = rows.select("token", "node", "n", "ask", "component")
+    rows = rows.select("token", "node", "ask", "component")
     mixed = rows.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
     )
@@ -311,6 +355,15 @@ def jaccard_groups(
     """
     store = Store(spark, "jaccard")
     shingler = Shingler(words)
+    with arrow_rows(spark, 2000):
+        return grouped(spark, docs, store, shingler, threshold, most_frequent, leader_rounds)
+
+
+def grouped(
+    spark: SparkSession, docs: DataFrame, store: Store, shingler: Shingler,
+    threshold: int, most_frequent: int, leader_rounds: int,
+) -> DataFrame:
+    """The steps of ``jaccard_groups``; all that runs Python is written before it returns."""
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key")
     )
@@ -318,48 +371,47 @@ def jaccard_groups(
     order = frequent(seen.filter("token is not null"), most_frequent, threshold)
     profile = seen.filter("token is null").select("doc_id", "text_key", "n_shingles", "node")
 
-    tokens = prefixes(keyed.select("text_key", "text"), shingler, order)
+    classes = store.put(
+        profile.filter("node is not null").groupBy("node").agg(
+            F.min("text_key").alias("text_key"), F.max("n_shingles").alias("n"),
+            F.min("doc_id").alias("component_id"),
+        )
+    )
+
     # a frequent token is spread over parts, since it surely has several classes
-    part = F.when(F.col("hot"), F.pmod("node", F.lit(64))).otherwise(F.lit(0))
-    bucket = Window.partitionBy("token", "part")
-    shared = (
-        tokens.withColumn("part", part)
+    hot = F.col("token").bitwiseAND(F.lit(1)) == 1
+    part = F.when(hot, F.pmod(F.shiftright("node", 3), F.lit(64))).otherwise(F.lit(0))
+    bucket = Window.partitionBy("token", part)
+    buckets = store.put(
+        prefixes(keyed.select("text"), shingler, order)
         .withColumn("low", F.min("node").over(bucket))
         .withColumn("high", F.max("node").over(bucket))
-        .filter("hot or low != high")
-    )
-    buckets = store.put(
-        shared.groupBy("token", "node").agg(
-            F.min("n").alias("n"), F.min("ask").alias("ask"), F.min("text_key").alias("text_key")
+        .filter(hot | (F.col("low") != F.col("high")))
+        .select("token", "node")
+        .distinct()
+        .select(
+            "token",
+            F.col("node").bitwiseAND(F.lit(-8)).alias("node"),
+            F.col("node").bitwiseAND(F.lit(7)).cast("int").alias("ask"),
         )
     )
-    keys = buckets.groupBy("node").agg(F.min("text_key").alias("text_key"))
-    texts = store.put(
-        keyed.filter("text is not null").select("text_key", "text")
-        .join(keys, "text_key").dropDuplicates(["node"]).select("node", "text")
-    )
 
     links, labels = None, None
     for turn in range(leader_rounds + 1):
         rows = store.put(with_components(buckets, labels))
         if rows.isEmpty():
             break
-        pairs = best_leaders(rows, threshold) if turn < leader_rounds else remaining_pairs(rows, threshold)
-        found = store.put(verified(pairs, texts, shingler, threshold))
-        if found.isEmpty() and turn < leader_rounds:
-            pairs = remaining_pairs(rows, threshold)
+        last = turn == leader_rounds
+        pairs = store.put(of_like_size(remaining_pairs(rows) if last else best_leaders(rows), classes, threshold))
+        if not pairs.isEmpty():
+            texts = texts_of(keyed, pairs, classes, store)
             found = store.put(verified(pairs, texts, shingler, threshold))
-            turn = leader_rounds
-        if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             labels = connected_components(links, store)
-        if turn == leader_rounds:
-            break
+            store.drop(texts)
+        store.drop(rows)
 
-    classes = (
-        profile.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("component_id"))
-        .withColumn("component", F.col("node"))
-    )
+    classes = classes.select("node", "component_id").withColumn("component", F.col("node"))
     if labels is not None:
         rooted = classes.drop("component").join(labels, "node", "left")
         rooted = rooted.withColumn("component", F.coalesce("root", "node"))
