@@ -18,11 +18,11 @@ from shortfall.llm.base import Store
 WORDS = r"[\x20\x09-\x0D]+"
 #: Rule, its ratio of the base counts, whether high values are bad, cutoffs from mild to strict.
 RULES = [
-    ("symbols", "n_symbols / n_words", True, [1.0, 0.7, 0.5, 0.35, 0.25, 0.18, 0.12, 0.08, 0.05]),
-    ("dup_lines", "n_dup_lines / n_words", True, [0.2, 0.14, 0.1, 0.07, 0.05, 0.035, 0.025, 0.015]),
-    ("repeats", "n_repeat_words / n_words", True, [0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1]),
-    ("long_words", "word_chars / n_words", True, [30.0, 20.0, 15.0, 12.0, 11.0, 10.0, 9.0, 8.5]),
-    ("short_words", "word_chars / n_words", False, [1.5, 2.0, 2.5, 3.0, 3.5, 3.8, 4.1, 4.4]),
+    ("symbols", "try_divide(n_symbols, n_words)", True, [1.0, 0.7, 0.5, 0.35, 0.25, 0.18, 0.12, 0.08, 0.05]),
+    ("dup_lines", "try_divide(n_dup_lines, n_words)", True, [0.2, 0.14, 0.1, 0.07, 0.05, 0.035, 0.025, 0.015]),
+    ("repeats", "try_divide(n_repeat_words, n_words)", True, [0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1]),
+    ("long_words", "try_divide(word_chars, n_words)", True, [30.0, 20.0, 15.0, 12.0, 11.0, 10.0, 9.0, 8.5]),
+    ("short_words", "try_divide(word_chars, n_words)", False, [1.5, 2.0, 2.5, 3.0, 3.5, 3.8, 4.1, 4.4]),
 ]
 
 
