@@ -60,8 +60,8 @@ class Shingler:
 
 
 def class_id(hashes: np.ndarray) -> int | None:
-    """Hash of a whole set, null for the empty set; its low three bits are left free."""
-    return (xxhash.xxh3_64_intdigest(hashes.tobytes()) & ~7) - (1 << 63) if len(hashes) else None
+    """Hash of a whole set, null for the empty set; its low four bits are left free."""
+    return (xxhash.xxh3_64_intdigest(hashes.tobytes()) & ~15) - (1 << 63) if len(hashes) else None
 
 
 def signed(hashes: np.ndarray) -> np.ndarray:
@@ -82,8 +82,11 @@ class Order:
     threshold: int = 75
     most_extra: int = 6
 
-    def prefix(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-        """Prefix tokens, whether each is frequent, and the matches asked for.
+    def prefix(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """Prefix tokens, whether each is frequent, whether each counts against larger sets, matches asked for.
+
+        Against a set that is no smaller, ``2 t / (1 + t)`` of the tokens must
+        be shared, so that a shorter start of the prefix does.
 
         The estimated cost is what the listed tokens of the plain prefix occur
         in, and a chance match for some tokens of the others. Its logarithm is
@@ -105,7 +108,9 @@ class Order:
         cost = df[order[:plain]].sum() / plain + plain / 12
         ask = int(min(1 + min(self.most_extra, np.log2(1 + cost)), need))
         use = order[: plain + ask - 1]
-        return hashes[use], hot[use], ask
+        most = -(-2 * self.threshold * n // (100 + self.threshold))
+        against_larger = np.arange(len(use)) < n - most + ask
+        return hashes[use], hot[use], against_larger, ask
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
@@ -178,7 +183,8 @@ def prefixes(docs: DataFrame, shingler: Shingler, order: Order) -> DataFrame:
     """Rows (token, node) of the prefix of each set, once a set and batch.
 
     Rows are narrow, since there are many: a token's low bit says that it is
-    frequent, a node's low three bits are the matches it asks for.
+    frequent, a node's low four bits are the matches it asks for and
+    whether the token counts against larger sets.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,9 +197,9 @@ def prefixes(docs: DataFrame, shingler: Shingler, order: Order) -> DataFrame:
                 if node is None or node in seen:
                     continue
                 seen.add(node)
-                use, hot, ask = order.prefix(hashes)
+                use, hot, against_larger, ask = order.prefix(hashes)
                 tokens.append((signed(use) & ~1) | hot)
-                nodes.append(np.full(len(use), node + ask, np.int64))
+                nodes.append(node + ask + 8 * against_larger.astype(np.int64))
             if tokens:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(tokens)), pa.array(np.concatenate(nodes))],
@@ -266,13 +272,15 @@ def verified(pairs: DataFrame, texts: DataFrame, shingler: Shingler, threshold:
     return both.mapInArrow(run, "a long, b long")
 
 
-def best_leaders(rows: DataFrame) -> DataFrame:
-    """For each class one other class to try: the leader that most of its buckets share.
+def best_leaders(rows: DataFrame, tries: int = 4) -> DataFrame:
+    """For each class a few classes to try: leaders that most of its buckets name.
 
-    ``rows``: token, node, ask, component. A bucket's leaders are its smallest
-    node and the smallest node of the last component in it. Linear in the rows.
+    ``rows``: token, node, n, ask, inner, component. A bucket's leaders are a node of its
+    lowest and one of its highest component, by a hash of node and token: so
+    the buckets of a class name several members of a large component. Classes
+    in fewer buckets than matches asked for try nothing. Linear in the rows.
     """
-    first = F.struct("component", "node", "ask")
+    first = F.struct("component", F.xxhash64("node", "token").alias("any"), "node", "ask")
     leaders = rows.groupBy("token").agg(F.min(first).alias("low"), F.max(first).alias("high"))
     tried = (
         rows.join(leaders, "token")
@@ -282,39 +290,58 @@ def best_leaders(rows: DataFrame) -> DataFrame:
         .filter(F.col("leader.component") != F.col("component"))
         .groupBy("node", F.col("leader.node").alias("leader"))
         .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("ask", "leader.ask")).alias("ask"))
-        .filter("shared >= ask")
     )
-    return (
-        tried.groupBy("node")
-        .agg(F.max_by("leader", F.struct("shared", "leader")).alias("leader"))
-        .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-        .distinct()
+    ranked = tried.groupBy("node").agg(
+        F.sum("shared").alias("met"), F.min("ask").alias("ask"),
+        # no more leaders than tokens of the prefix
+        F.sort_array(F.collect_list(F.struct((-F.col("shared")).alias("order"), "leader"))).alias("leaders"),
     )
+    chosen = ranked.filter("met >= ask").select(
+        "node", F.explode(F.slice("leaders", 1, tries)).alias("leader")
+    )
+    return chosen.select(
+        F.least("node", "leader.leader").alias("a"), F.greatest("node", "leader.leader").alias("b")
+    ).distinct()
 
 
-def remaining_pairs(rows: DataFrame) -> DataFrame:
+def remaining_pairs(rows: DataFrame, threshold: int) -> DataFrame:
     """All candidate pairs of classes that are still in different components.
 
     In each bucket the rows outside its largest component meet all others, so
     the largest component is never paired with itself.
     """
+    # a class needs as many buckets as the least that any pair in them asks for
+    asked = rows.groupBy("token").agg(F.min("ask").alias("least"))
+    enough = (
+        rows.join(asked, "token").groupBy("node")
+        .agg(F.count(F.lit(1)).alias("met"), F.min("least").alias("least")).filter("met >= least")
+    )
+    rows = rows.join(enough.select("node"), "node")
     sizes = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("token").agg(
         F.max_by("component", F.struct("size", "component")).alias("largest")
     )
     rows = rows.join(largest, "token")
-    rest = rows.filter("component != largest").select(
-        "token", *[F.col(c).alias(f"r_{c}") for c in ("node", "ask", "component")]
+    other = rows.select(
+        "token", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "ask", "component", "largest")]
     )
-    met = rows.join(rest, "token").filter(
-        "component != r_component and (component = largest or node < r_node)"
+    # the smaller of two sets meets the larger by its inner tokens
+    smaller = "component != o_component and (n < o_n or n = o_n and node < o_node) and 100 * n >= {} * o_n"
+    smaller = smaller.format(threshold)
+    inner = rows.filter("inner")
+    met = inner.filter("component != largest").join(other, "token").filter(smaller).unionByName(
+        inner.filter("component = largest").join(other.filter("o_component != o_largest"), "token").filter(smaller)
     )
-    return (
-        met.groupBy(F.least("node", "r_node").alias("a"), F.greatest("node", "r_node").alias("b"))
-        .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("ask", "r_ask")).alias("ask"))
-        .filter("shared >= ask")
-        .select("a", "b")
+    counted = met.groupBy("node", "n", "ask", "o_node", "o_n", "o_ask").agg(
+        F.count(F.lit(1)).alias("shared")
     )
+    # what the prefixes share and all that may follow the end of the first that ends
+    both = 100 + threshold
+    after = f"({2 * threshold} * n + {both - 1}) div {both} - ask"
+    o_after = f"({threshold} * o_n + 99) div 100 - o_ask"
+    return counted.filter("shared >= least(ask, o_ask)").filter(
+        f"(shared + greatest({after}, {o_after})) * {both} >= {threshold} * (n + o_n)"
+    ).select(F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b"))
 
 
 def with_components(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -323,7 +350,7 @@ def with_components(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
         rows = rows.withColumn("component", F.col("node"))
     else:
         rows = rows.join(labels, "node", "left").withColumn("component", F.coalesce("root", "node"))
-    rows = rows.select("token", "node", "ask", "component")
+    rows = rows.select("token", "node", "n", "ask", "inner", "component")
     mixed = rows.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
     )
@@ -336,7 +363,7 @@ def jaccard_groups(
     words: int = 5,
     threshold: int = 75,
     most_frequent: int = 65_536,
-    leader_rounds: int = 2,
+    leader_rounds: int = 3,
 ) -> DataFrame:
     """Rows (doc_id, text_key, n_shingles, component_id, component), one for each row of ``docs``.
 
@@ -380,20 +407,25 @@ def grouped(
 
     # a frequent token is spread over parts, since it surely has several classes
     hot = F.col("token").bitwiseAND(F.lit(1)) == 1
-    part = F.when(hot, F.pmod(F.shiftright("node", 3), F.lit(64))).otherwise(F.lit(0))
-    bucket = Window.partitionBy("token", part)
+    part = F.when(hot, F.pmod(F.shiftright("node", 4), F.lit(64))).otherwise(F.lit(0))
+    bucket = Window.partitionBy("token", "part")
+    plain_node = F.col("node").bitwiseAND(F.lit(-16))
     buckets = store.put(
         prefixes(keyed.select("text"), shingler, order)
-        .withColumn("low", F.min("node").over(bucket))
-        .withColumn("high", F.max("node").over(bucket))
+        .withColumn("part", part)
+        .select(
+            "token", "node", F.min(plain_node).over(bucket).alias("low"), F.max(plain_node).over(bucket).alias("high")
+        )
         .filter(hot | (F.col("low") != F.col("high")))
         .select("token", "node")
         .distinct()
         .select(
             "token",
-            F.col("node").bitwiseAND(F.lit(-8)).alias("node"),
+            plain_node.alias("node"),
             F.col("node").bitwiseAND(F.lit(7)).cast("int").alias("ask"),
+            (F.col("node").bitwiseAND(F.lit(8)) != 0).alias("inner"),
         )
+        .join(classes.select("node", "n"), "node")
     )
 
     links, labels = None, None
@@ -402,7 +434,7 @@ def grouped(
         if rows.isEmpty():
             break
         last = turn == leader_rounds
-        pairs = store.put(of_like_size(remaining_pairs(rows) if last else best_leaders(rows), classes, threshold))
+        pairs = store.put(of_like_size(remaining_pairs(rows, threshold) if last else best_leaders(rows), classes, threshold))
         if not pairs.isEmpty():
             texts = texts_of(keyed, pairs, classes, store)
             found = store.put(verified(pairs, texts, shingler, threshold))
