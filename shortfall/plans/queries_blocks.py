@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shortfall.functions import dates, nulls, text
@@ -143,7 +144,12 @@ query(
         ["qty", "tax"],
     )
 )
-FLAGS = F.array(F.lit("true"), F.lit("TRUE"), F.lit("1"), F.lit("false"), F.lit("0"))
+
+
+def flags() -> Column:
+    return F.array(F.lit("true"), F.lit("TRUE"), F.lit("1"), F.lit("false"), F.lit("0"))
+
+
 query(
     "bool_normalise",
     """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber IN (1, 2, 3) THEN 1 ELSE 0 END AS accepted FROM lineitem""",
@@ -152,7 +158,7 @@ query(
         "l_orderkey",
         "l_linenumber",
         text.is_true(
-            F.get(FLAGS, F.least(F.col("l_linenumber"), F.lit(5)) - 1)
+            F.get(flags(), F.least(F.col("l_linenumber"), F.lit(5)) - 1)
         ).cast("int").alias("accepted"),
     )
 )
