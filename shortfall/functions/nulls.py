@@ -71,6 +71,34 @@ def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.fillna(0, subset=list(cols))
 
 
+#: Stand-ins for a missing key, by column type; no real key has these values.
+MISSING_KEYS = {"string": "<missing>", "int": -(1 << 31), "bigint": -(1 << 63)}
+
+
+def present_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Replace missing values of key columns, so that plain joins match them with each other."""
+    kinds = dict(df.dtypes)
+    return df.withColumns(
+        {
+            c: F.coalesce(F.col(c), F.lit(MISSING_KEYS[kinds[c]]).cast(kinds[c]))
+            for c in cols
+            if kinds.get(c) in MISSING_KEYS
+        }
+    )
+
+
+def missing_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Undo ``present_keys``."""
+    kinds = dict(df.dtypes)
+    return df.withColumns(
+        {
+            c: F.nullif(F.col(c), F.lit(MISSING_KEYS[kinds[c]]).cast(kinds[c]))
+            for c in cols
+            if kinds.get(c) in MISSING_KEYS
+        }
+    )
+
+
 def null_safe_join(
     left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]], how: str = "left"
 ) -> DataFrame:

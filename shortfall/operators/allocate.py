@@ -134,6 +134,37 @@ def cascade_issues(allocated: DataFrame, issues: DataFrame) -> DataFrame:
     return cascade(filled, "fsn_dp_fc_loss", CAUSES)
 
 
+def cascade_pairs(pool: DataFrame, supply: DataFrame, issues: DataFrame) -> DataFrame:
+    """The cascade added up by pair, from the centres that have an issue.
+
+    ``supply`` has the number of centres of each pair (``supply_of_pairs``),
+    ``issues`` the issues at its centres (``supplied_issues``). Every centre
+    has an equal share of the pool; the shares of centres without an issue are
+    residual as a whole. ``fsn_dp_fc_loss`` is what was given out in all.
+    """
+    share = F.lit(1.0) / F.col("fc_count") * F.col("fsn_dp_loss")
+    shared = (
+        pool.where(F.col("fsn_dp_loss") > 0)
+        .select(*PAIR, "fsn_dp_loss")
+        .join(supply.where("fc_count > 0").select(*PAIR, "fc_count"), PAIR)
+        .withColumn("fsn_dp_fc_loss", share)
+    )
+    joined = fill_zero(shared.join(issues, PAIR, "left"), [issue for _, issue in CAUSES])
+    served = cascade(joined, "fsn_dp_fc_loss", CAUSES)
+    has_issue = F.col("fc").isNotNull()
+    untouched = F.max("fsn_dp_fc_loss") * (F.max("fc_count") - F.count("fc"))
+    return served.groupBy(*PAIR).agg(
+        (F.max("fsn_dp_fc_loss") * F.max("fc_count")).alias("fsn_dp_fc_loss"),
+        *[sum_or_zero(c).alias(c) for c in CASCADE_LOSSES],
+        (sum_or_zero(F.when(has_issue, F.col("residual"))) + untouched).alias("residual"),
+    )
+
+
+def open_issues(issues: DataFrame) -> DataFrame:
+    """Rows of ``issues_by_fc`` with an issue above zero."""
+    return issues.where(" or ".join(f"{issue} > 0" for _, issue in CAUSES))
+
+
 def cascade_losses(
     allocated: DataFrame, forecast: DataFrame, overrides: DataFrame, adherence: DataFrame
 ) -> DataFrame:

@@ -159,9 +159,14 @@ def vendor_adherence_issue(
     cat_lead_time: DataFrame,
     period: Period,
     clamp: bool = True,
+    strict_fanout: bool = False,
 ) -> DataFrame:
     """Units vendors failed to deliver per product and centre.
 
+    A product of several categories counts its orders once; without a lead
+    time of its own, the longest of its categories applies. With
+    ``strict_fanout`` its orders count once per category and lead time.
+
     Order lines are added up per day and state before the joins: the window
     test needs no more detail and a busy product shrinks to a few rows.
     ``clamp=False`` lets over-deliveries offset shortfalls.
@@ -178,15 +183,15 @@ def vendor_adherence_issue(
         .agg(strict_sum(missing).alias("missing"))
     )
     lead = lead_time.select("fsn", "fc", "policy_lt").where("fc is not null").distinct()
-    with_lead = (
-        daily.join(products, "fsn", "inner")
-        .join(lead, ["fsn", "fc"], "left")
-        .join(
-            cat_lead_time.select("category", F.col("lead_time").alias("cat_lead_time")),
-            "category",
-            "left",
-        )
+    by_category = products.join(
+        cat_lead_time.select("category", F.col("lead_time").alias("cat_lead_time")),
+        "category",
+        "left",
     )
+    if not strict_fanout:
+        lead = lead.groupBy("fsn", "fc").agg(F.max("policy_lt").alias("policy_lt"))
+        by_category = by_category.groupBy("fsn").agg(F.max("cat_lead_time").alias("cat_lead_time"))
+    with_lead = daily.join(by_category, "fsn").join(lead, ["fsn", "fc"], "left")
     lead_days = F.coalesce("policy_lt", "cat_lead_time")
     due = po_due(F.col("poi_created_day"), F.col("po_status"), lead_days, period)
     return (

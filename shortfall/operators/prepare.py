@@ -153,6 +153,21 @@ def policy_lead_time(
     )
 
 
+def one_lead_time(lead_times: DataFrame) -> DataFrame:
+    """``policy_lead_time`` with one row per product and centre.
+
+    Where rows of several categories differ, the longest lead time is taken,
+    then the last category by name.
+    """
+    rest = [c for c in lead_times.columns if c not in ("fsn", "fc", "policy_lt", "category")]
+    longest = F.max(F.struct("policy_lt", "category", *rest)).alias("longest")
+    return (
+        lead_times.groupBy("fsn", "fc")
+        .agg(longest)
+        .select(*[c if c in ("fsn", "fc") else f"longest.{c}" for c in lead_times.columns])
+    )
+
+
 def requirement_clean(requirement: DataFrame) -> DataFrame:
     """Plan rows with numeric quantities; what is missing or not a number is zero."""
     df = requirement.withColumnsRenamed({"warehouse": "fc", "week": "reco_week"})

@@ -78,7 +78,8 @@ class DriverTables:
 
     @cached_property
     def lzn_mapping(self) -> DataFrame:
-        every_nation = F.explode(F.sequence(F.lit(0), F.lit(NATIONS - 1)))
+        last = self.table("nation").agg(F.max("n_nationkey").cast("int")).scalar()
+        every_nation = F.explode(F.sequence(F.lit(0), last))
         return (
             self.suppliers.withColumn("dest_nation", every_nation)
             .join(self.nation("dest"), "dest_nation")

@@ -1,18 +1,25 @@
-"""The weekly run: inputs to detail table as one set of lazily built frames."""
+"""The weekly run: inputs to detail table, each frame built when it is first asked for."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, fields, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from shortfall.functions.dates import Period
+from shortfall.functions.nulls import missing_keys, present_keys
 from shortfall.operators import allocate, issues, placement, prepare, quality, waterfall
 
 
+#: Keys by which a missing value matches a missing value.
+MATCHED_KEYS = [
+    "dest_pincode", "destination_pincode", "pincode", "brand", "vertical", "category",
+]
+
+
 @dataclass(frozen=True)
 class WeeklyInputs:
     """The thirteen input tables. ``history`` may name a lighter source of the
@@ -33,6 +40,14 @@ class WeeklyInputs:
     offer_sales: DataFrame
     history: DataFrame | None = None
 
+    def with_present_keys(self) -> WeeklyInputs:
+        """Stand-ins for missing keys in every table."""
+        tables = {f.name: getattr(self, f.name) for f in fields(self)}
+        return replace(
+            self,
+            **{k: present_keys(df, MATCHED_KEYS) for k, df in tables.items() if df is not None},
+        )
+
 
 @dataclass(frozen=True)
 class WeeklyOptions:
@@ -43,6 +58,10 @@ class WeeklyOptions:
     fallback: str = "row_mean"
     promotions: str = "excess"
     strict_fanout: bool = False
+    national: str = "given"
+    inclusive: bool = True
+    direction: str = "cut"
+    clamp: bool = True
 
 
 class WeeklyRun:
@@ -50,9 +69,13 @@ class WeeklyRun:
 
     ``stage`` may be a function ``(frame, name) -> frame`` that writes a frame
     and reads it back (``shortfall.sources.stage.stage``). It is applied to the
-    frames several branches need: the sales cube, the supplied centres, the
+    frames several branches need: the sales cube, the supply of each pair, the
     placement table, the lead times, the plan at lead time, the issues and the
-    pool.
+    pool. Asking for a late frame then starts the jobs that write these.
+
+    Missing destinations, brands, verticals and categories are keys like any
+    other: they match each other. Within the run a stand-in takes their place;
+    ``detail`` and ``output`` show them as missing again.
     """
 
     def __init__(
@@ -62,14 +85,16 @@ class WeeklyRun:
         options: WeeklyOptions = WeeklyOptions(),
         stage: Callable[[DataFrame, str], DataFrame] | None = None,
     ):
-        self.inputs, self.period, self.options = inputs, period, options
+        self.inputs = inputs.with_present_keys()
+        self.period, self.options = period, options
         self.staged = stage is not None
         self._stage = stage or (lambda df, name: df)
 
     @cached_property
     def sales(self) -> DataFrame:
         return prepare.clean_sales(
-            self.inputs.sales_raw, self.period, self.options.drop_fcs, self.options.sales_by
+            self.inputs.sales_raw, self.period, self.options.drop_fcs, self.options.sales_by,
+            self.options.national,
         )
 
     @cached_property
@@ -129,16 +154,28 @@ class WeeklyRun:
             "supplied",
         )
 
+    @cached_property
+    def supply(self) -> DataFrame:
+        """Vendors and centres of each pair, in numbers."""
+        return self._stage(
+            placement.supply_of_pairs(
+                self.pairs, self.lanes, self.fsn_vendors, self.brand_vendors
+            ),
+            "supply",
+        )
+
     @cached_property
     def vendor_availability(self) -> DataFrame:
-        return placement.vendor_availability(self.pairs, self.serviceability, self.supplied)
+        return placement.vendor_availability(self.pairs, self.serviceability, self.supply)
 
     @cached_property
     def low_sales(self) -> DataFrame:
         history = self.inputs.history
         if history is None:
             history = prepare.drop_fcs(self.inputs.sales_raw, self.options.drop_fcs)
-        return placement.low_sales_depth(history, self.inputs.min_sale_threshold, self.period)
+        return placement.low_sales_depth(
+            history, self.inputs.min_sale_threshold, self.period, self.options.inclusive
+        )
 
     @cached_property
     def low_products(self) -> DataFrame:
@@ -172,12 +209,12 @@ class WeeklyRun:
 
     @cached_property
     def lead_time(self) -> DataFrame:
-        return self._stage(
-            prepare.policy_lead_time(
-                self.inputs.lead_time, self.products, self.inputs.cat_lead_time, self.period
-            ),
-            "lead_time",
+        lead_times = prepare.policy_lead_time(
+            self.inputs.lead_time, self.products, self.inputs.cat_lead_time, self.period
         )
+        if not self.options.strict_fanout:
+            lead_times = prepare.one_lead_time(lead_times)
+        return self._stage(lead_times, "lead_time")
 
     @cached_property
     def reco(self) -> DataFrame:
@@ -203,7 +240,9 @@ class WeeklyRun:
 
     @cached_property
     def override_issues(self) -> DataFrame:
-        return issues.override_issues(self.reco, strict_fanout=self.options.strict_fanout)
+        return issues.override_issues(
+            self.reco, self.options.direction, self.options.strict_fanout
+        )
 
     @cached_property
     def adherence_issue(self) -> DataFrame:
@@ -213,6 +252,8 @@ class WeeklyRun:
             self.lead_time,
             self.inputs.cat_lead_time,
             self.period,
+            self.options.clamp,
+            self.options.strict_fanout,
         )
 
     @cached_property
@@ -247,12 +288,20 @@ class WeeklyRun:
 
     @cached_property
     def cascaded(self) -> DataFrame:
+        """The cascade by pair; literal fan-outs keep a row per pair, centre and plan."""
         self._write_stages()
         if self.options.strict_fanout:
             return allocate.cascade_losses(
                 self.allocated, self.forecast_issue, self.override_issues, self.adherence_issue
             )
-        return allocate.cascade_issues(self.allocated, self.issues)
+        issues_of_pairs = placement.supplied_issues(
+            self.pairs.join(self.pool.where("fsn_dp_loss > 0"), allocate.PAIR, "left_semi"),
+            self.lanes,
+            self.fsn_vendors,
+            self.brand_vendors,
+            allocate.open_issues(self.issues),
+        )
+        return allocate.cascade_pairs(self.pool, self.supply, issues_of_pairs)
 
     @cached_property
     def issues(self) -> DataFrame:
@@ -265,7 +314,9 @@ class WeeklyRun:
 
     @cached_property
     def by_destination(self) -> DataFrame:
-        return allocate.cascade_by_destination(self.cascaded)
+        if self.options.strict_fanout:
+            return allocate.cascade_by_destination(self.cascaded)
+        return self.cascaded.drop("fsn_dp_fc_loss")
 
     @cached_property
     def losses(self) -> DataFrame:
@@ -281,16 +332,23 @@ class WeeklyRun:
         return waterfall.promotions_loss(self.losses, self.offers, self.options.promotions)
 
     @cached_property
-    def detail(self) -> DataFrame:
+    def _keyed_detail(self) -> DataFrame:
         return waterfall.waterfall_detail(self.sales_hierarchy, self.with_promotions, self.period)
 
+    @cached_property
+    def detail(self) -> DataFrame:
+        return missing_keys(self._keyed_detail, MATCHED_KEYS)
+
     @cached_property
     def totals(self) -> DataFrame:
         return waterfall.waterfall_totals(self.detail, self.period)
 
     @cached_property
     def output(self) -> DataFrame:
-        return waterfall.attach_keys(self.detail, self.cube, self.inputs.preferred_warehouse)
+        keyed = waterfall.attach_keys(
+            self._keyed_detail, self.cube, self.inputs.preferred_warehouse
+        )
+        return missing_keys(keyed, MATCHED_KEYS)
 
     @cached_property
     def checks(self) -> DataFrame:

@@ -80,12 +80,15 @@ def detail(t, ws, we):
             fe[e["fsn"], e["destination_pincode"]].add(e["fiu_id"])
 
     cat_lead = {x["category"]: x["lead_time"] for x in t["cat_lead_time"]}
+    longest = {}
+    for p, c in category:
+        if cat_lead.get(c) is not None:
+            longest[p] = max(longest.get(p, 0.0), cat_lead[c])
     lead = {}
     for x in t["lead_time"]:
-        for p, c in category:
-            if p == x["fsn"]:
-                days = x["lead_time"]
-                lead[p, x["warehouse"]] = cat_lead.get(c) if days < 1 else days
+        if any(p == x["fsn"] for p, _ in category):
+            days = x["lead_time"]
+            lead[x["fsn"], x["warehouse"]] = longest.get(x["fsn"]) if days < 1 else days
 
     def number(x):
         try:
@@ -120,11 +123,9 @@ def detail(t, ws, we):
         issue[key]["forecast"] = max(units - forecast.get(key, 0.0), 0)
 
     for v in t["vendor_adherence"]:
-        for p, c in category:
-            if p != v["fsn"]:
-                continue
+        for p in {p for p, _ in category if p == v["fsn"]}:
             days = lead.get((p, v["fc"]))
-            days = cat_lead.get(c) if days is None else days
+            days = longest.get(p) if days is None else days
             created = dt.datetime.strptime(str(v["poi_created_day"]), "%Y%m%d").date()
             if days is None:
                 continue

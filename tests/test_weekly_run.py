@@ -105,6 +105,40 @@ def random_tables(seed):
     return t
 
 
+def with_gaps_and_repeats(tables, seed):
+    """Missing destinations, brands, verticals, categories and centres; products
+    sold under two brands and two categories."""
+    r = random.Random(seed)
+    for s in tables["sales_raw"]:
+        if r.random() < 0.2:
+            s["destination_pincode"] = None
+        if s["fsn"] in ("P1", "P0") and r.random() < 0.5:
+            s.update(brand="B0", vertical="V0", category="C2")
+        if s["fsn"] in ("P2", "P5", "P8"):
+            s.update(brand=None, vertical=None)
+        if s["fsn"] == "P7":
+            s["category"] = None
+    lane = {"lzn_value": "L1", "src_pincode": "9"}
+    tables["lzn_mapping"] += [
+        {**lane, "src_fc_code": "F1", "dest_pincode": None},
+        {**lane, "src_fc_code": "F4", "dest_pincode": None},
+        {**lane, "src_fc_code": None, "dest_pincode": "2"},
+    ]
+    tables["vendor_brand"] += [
+        {"vsid": "v8", "fc": f, "vertical": None, "brand": None} for f in ("F0", "F1", "F4")
+    ] + [{"vsid": "v7", "fc": f, "vertical": "V1", "brand": "B1"} for f in ("F2", "F3")]
+    tables["cat_lead_time"].append({"category": None, "lead_time": 9.0})
+    tables["min_sale_threshold"].append({"category": None, "min_sales_depth": 40.0})
+    tables["preferred_warehouse"].append({"pincode": None, "preferred_fc_non_large": "F1,F2"})
+    for e in tables["explain"]:
+        if r.random() < 0.2:
+            e["destination_pincode"] = None
+    for o in tables["offer_sales"]:
+        if r.random() < 0.2:
+            o["dest_pincode"] = None
+    return tables
+
+
 def frames(spark, tables):
     out = {}
     for name, rows in tables.items():
@@ -131,6 +165,55 @@ def test_run_equals_brute_force(spark, seed, staged):
     )
 
 
+@pytest.mark.parametrize("seed", [11, 12])
+def test_missing_keys_and_products_of_several_brands(spark, seed):
+    tables = with_gaps_and_repeats(random_tables(seed), seed)
+    run = WeeklyRun(frames(spark, tables), PERIOD, stage=stage)
+    rows = run.detail.collect()
+    want = detail(tables, WS, WE)
+    got = {(r.fsn, r.dest_pincode): r for r in rows}
+    assert len(rows) > len(got) and any(d is None for _, d in got)
+    assert got.keys() == want.keys()
+    for key, losses in want.items():
+        for name in LOSSES:
+            expected = losses[name.removesuffix("_loss")]
+            assert getattr(got[key], name) == pytest.approx(expected, abs=1e-9), (key, name)
+    explained = run.with_promotions.agg({c: "sum" for c in LOSSES}).first()
+    national = run.placement.agg({"nat_sales": "sum"}).first()[0]
+    assert sum(explained) == pytest.approx(national)
+    checks = run.checks.first().asDict()
+    gaps = [n for n in checks if n.endswith("_gap") and n != "explained_gap"]
+    assert all(abs(checks[n]) < 1e-6 for n in gaps)
+    output = run.output.select("dest_pincode", "preferred_fc").distinct().collect()
+    assert (None, "F1,F2") in [tuple(r) for r in output]
+
+
+def test_numbers_of_centres_equal_their_rows(spark):
+    from pyspark.sql import functions as F
+
+    tables = with_gaps_and_repeats(random_tables(13), 13)
+    run = WeeklyRun(frames(spark, tables), PERIOD)
+    pair = ["fsn", "dest_pincode"]
+    rows = run.supplied.groupBy(*pair).agg(
+        F.sum("vendor_count").alias("vendor_count"), F.count_distinct("fc").alias("fc_count")
+    )
+    counts = run.supply.where("fc_count > 0").select(*rows.columns)
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, counts.collect()))
+    assert run.supply.count() == run.pairs.select(*pair).distinct().count()
+
+
+def test_literal_fanout_counts_orders_of_two_categories_twice(spark):
+    tables = with_gaps_and_repeats(random_tables(14), 14)
+    once = WeeklyRun(frames(spark, tables), PERIOD)
+    literal = WeeklyRun(frames(spark, tables), PERIOD, WeeklyOptions(strict_fanout=True))
+    total = lambda df, c: df.agg({c: "sum"}).first()[0]
+    assert total(literal.adherence_issue, "vendor_adherence_issue") > total(
+        once.adherence_issue, "vendor_adherence_issue"
+    )
+    assert literal.lead_time.count() > once.lead_time.count()
+    assert once.lead_time.count() == once.lead_time.select("fsn", "fc").distinct().count()
+
+
 def test_unions_and_joins_give_the_same_losses(spark):
     from shortfall.operators.allocate import (
         allocate_to_fc, cascade_by_destination, cascade_losses, combine_losses, fe_loss,
