@@ -47,6 +47,14 @@ class Period:
         day = self.wk_end.timetuple().tm_yday
         return (day - 1) // 7 + 1 if self.week_rule == "block" else day // 7 + 1
 
+    @property
+    def week_days(self) -> tuple[dt.date, dt.date]:
+        """First and last day of the seven-day block that ``week`` numbers."""
+        new_year, before = dt.date(self.year, 1, 1), 0 if self.week_rule == "block" else 1
+        first = new_year + dt.timedelta(days=7 * (self.week - 1) - before)
+        last = first + dt.timedelta(days=6)
+        return max(first, new_year), min(last, dt.date(self.year, 12, 31))
+
     @property
     def year(self) -> int:
         return self.wk_end.year

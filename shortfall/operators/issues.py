@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shortfall.functions.dates import Period, days_between, parse_date, week_of_year
+from shortfall.functions.dates import Period, days_between, parse_date
 from shortfall.functions.nulls import excess, null_safe_join, strict_sum, zero
 from shortfall.functions.text import is_true, to_number
 from shortfall.operators.prepare import FORECASTS, NATIONAL_LANES, NEAR_LANES
@@ -25,9 +25,12 @@ PLAN_STEPS = [
 
 
 def explain_week(explain: DataFrame, period: Period) -> DataFrame:
-    """Offers of the reporting week; ``day`` is an integer yyyymmdd."""
-    week = week_of_year(parse_date("day", "yyyyMMdd"), period.week_rule)
-    offers = explain.where(week == period.week)
+    """Offers of the reporting week and year; ``day`` is an integer yyyymmdd.
+
+    The days of the week are known, so the test is a range a scan can skip by.
+    """
+    first, last = (int(d.strftime("%Y%m%d")) for d in period.week_days)
+    offers = explain.where(F.col("day").between(first, last))
     if "destination_pincode" in offers.columns:
         offers = offers.withColumnRenamed("destination_pincode", "dest_pincode")
     return offers

@@ -13,6 +13,7 @@ from shortfall.functions.dates import (
     week_of_year,
 )
 from shortfall.functions.nulls import excess, fill_zero, strict_sum, sum_or_zero, zero
+from shortfall.functions.text import is_true
 from shortfall.operators.allocate import cascade
 from shortfall.operators.issues import PO_CLOSED, PO_OPEN, units_offered_nearby
 from shortfall.operators.relational import (
@@ -84,6 +85,8 @@ def fe_issue_tiered(
         F.lit("ACTIVE").alias("tier_status"),
     ).distinct()
     offers = explain.withColumnRenamed("accepted", "is_accepted")
+    # no other offer can count, so none is shuffled
+    offers = offers.where(is_true("is_accepted") | (F.col("effective_inventory") > 0))
     offers = salted_join(offers, lanes, ["dest_pincode", "source_id"], ["fiu_id"], how="left")
     offers = salted_join(
         offers, tiers, ["dest_pincode", "source_id", "lpe_tier"], ["fiu_id"], how="left"
@@ -180,10 +183,11 @@ def reco_agg(lead: DataFrame, reco_file: DataFrame, week_rule: str = "block") ->
 def forecast_diff(preferred_wh: DataFrame, sales_fsn_dp: DataFrame, reco: DataFrame) -> DataFrame:
     """Units sold beyond the forecast of the preferred centre.
 
-    Starts from the destinations that have a preferred centre.
+    Only destinations that have a preferred centre count. One without sales
+    has no product and so gives no row.
     """
     sold = (
-        preferred_wh.join(sales_fsn_dp, "dest_pincode", "left")
+        salted_join(sales_fsn_dp, preferred_wh, ["dest_pincode"], ["fsn"])
         .groupBy("fsn", F.col("preferred_wh").alias("FC"))
         .agg(strict_sum("sales").alias("sales"))
     )
@@ -218,7 +222,11 @@ def po_adherence(raised: DataFrame, reco: DataFrame) -> DataFrame:
 
 def po_leadtime_window(receipts: DataFrame, lead: DataFrame, period: Period) -> DataFrame:
     """Ordered and received units that were due in the period, or in the weeks
-    before it for orders still open."""
+    before it for orders still open.
+
+    The longest lead time counts where a product has several at a centre.
+    """
+    longest = lead.groupBy("fsn", "FC").agg(F.max("policy_lead_time").alias("policy_lead_time"))
     lead_days = F.coalesce(F.col("policy_lead_time"), F.lit(float(DEFAULT_LEAD_TIME)))
     placed = parse_date("poi_initiated_date_key", "yyyyMMdd")
     status = F.col("poi_status")
@@ -233,7 +241,7 @@ def po_leadtime_window(receipts: DataFrame, lead: DataFrame, period: Period) ->
     )
     return (
         receipts.where(status.isin(PO_OPEN, PO_CLOSED))
-        .join(lead.select("fsn", "FC", "policy_lead_time"), ["fsn", "FC"], "left")
+        .join(longest, ["fsn", "FC"], "left")
         .where(due)
         .groupBy("fsn", "FC")
         .agg(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -48,11 +49,15 @@ def clean_sales(
 ) -> DataFrame:
     """Sales lines of the reporting period with the units no lane explains.
 
-    ``by="week"`` selects on the week number, ``by="day"`` on the dates.
+    ``by="week"`` selects on the week number, and on the year where the table
+    has days; ``by="day"`` on the dates.
     ``national="derived"`` recomputes national units as all that is not regional.
     """
     if by == "week":
         in_period = F.col("week") == period.week
+        if "day" in sales_raw.columns:
+            new_year, last_day = dt.date(period.year, 1, 1), dt.date(period.year, 12, 31)
+            in_period &= F.col("day").isNull() | F.col("day").between(new_year, last_day)
     else:
         in_period = F.col("day").between(period.wk_start, period.wk_end)
     has_product = F.col("fsn").cast("string") != ""

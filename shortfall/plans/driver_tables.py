@@ -14,12 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shortfall.functions.dates import Period
+from shortfall.operators.relational import salted_join
 from shortfall.plans.weekly import WeeklyInputs, WeeklyOptions, WeeklyRun
 from shortfall.sources.stage import stage
 
 PERIOD = Period(dt.date(1997, 6, 29), dt.date(1998, 6, 27))
-#: Nation keys run from 0 to 24 at every scale factor.
-NATIONS = 25
 
 
 def _since(col: str, day: dt.date) -> Column:
@@ -55,6 +54,14 @@ class DriverTables:
             F.col("n_regionkey").alias(f"{prefix}_region"),
         )
 
+    @cached_property
+    def nations(self) -> int:
+        """How many nation keys there are, from zero; wide tables have a column for each.
+
+        Reads one row at once, since columns must be known when a plan is built.
+        """
+        return (self.table("nation").agg(F.max("n_nationkey")).first()[0] or 0) + 1
+
     @cached_property
     def suppliers(self) -> DataFrame:
         """Fulfilment centres with the place they ship from."""
@@ -150,8 +157,8 @@ class DriverTables:
 
     @cached_property
     def history(self) -> DataFrame:
-        """Sales before the period with the columns the depth check reads."""
-        span = self.lines(PERIOD.shift("wk_start", -28), PERIOD.shift("wk_start", -1))
+        """All sales with the columns the depth check reads; the check picks its days."""
+        span = self.lines()
         part = self.table("part").select(
             F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("category")
         )
@@ -281,7 +288,7 @@ class DriverTables:
         )
         offers = F.when(also_near, F.array(own, nearby)).otherwise(F.array(own))
         return (
-            self.sales.join(near, "dest_pincode", "left")
+            salted_join(self.sales, near, ["dest_pincode"], ["fiu_id"], how="left")
             .select("fiu_id", "fsn", "dest_pincode", "day", F.explode(offers).alias("offer"))
             .select("fiu_id", "fsn", "dest_pincode", "day", "offer.*")
         )

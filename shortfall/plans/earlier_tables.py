@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shortfall.operators import warehouse
-from shortfall.plans.driver_tables import NATIONS, PERIOD, DriverTables, in_days, text
+from shortfall.plans.driver_tables import PERIOD, DriverTables, in_days, text
 from shortfall.plans.earlier import EarlierInputs, EarlierRun
 from shortfall.sources.stage import stage
 
@@ -64,7 +64,7 @@ class EarlierTables(DriverTables):
         closed = lambda k: (F.col("p_size") > 10) & ((F.col("p_partkey") + k) % 4 == 0)
         return self.table("part").select(
             F.col("p_partkey").alias("FSN"),
-            *[F.when(closed(k), 0).otherwise(1).alias(f"FC{k}") for k in range(NATIONS)],
+            *[F.when(closed(k), 0).otherwise(1).alias(f"FC{k}") for k in range(self.nations)],
         )
 
     @cached_property
@@ -78,7 +78,7 @@ class EarlierTables(DriverTables):
         at = lambda k: seen & (F.col("src_nation") == k)
         return self.lines_by_source.groupBy(
             *[F.col(c).alias(name) for name, c in keys.items()]
-        ).agg(*[F.max(F.when(at(k), 1).otherwise(0)).alias(f"FC{k}") for k in range(NATIONS)])
+        ).agg(*[F.max(F.when(at(k), 1).otherwise(0)).alias(f"FC{k}") for k in range(self.nations)])
 
     @cached_property
     def u2s_wide(self) -> DataFrame:
@@ -102,7 +102,7 @@ class EarlierTables(DriverTables):
             self.table("lineitem")
             .join(source, "l_suppkey")
             .groupBy(F.col("l_partkey").alias("fsn"))
-            .agg(*[F.max(at(k)).alias(f"lead_time_for_FC{k}") for k in range(NATIONS)])
+            .agg(*[F.max(at(k)).alias(f"lead_time_for_FC{k}") for k in range(self.nations)])
         )
 
     @cached_property
@@ -161,7 +161,7 @@ class EarlierTables(DriverTables):
             (F.col("l_quantity") - 10).alias("effective_inventory"),
         )
         other = F.struct(
-            F.concat(F.lit("FC"), ((F.col("src_nation") + 5) % NATIONS).cast("string")).alias("warehouse"),
+            F.concat(F.lit("FC"), ((F.col("src_nation") + 5) % self.nations).cast("string")).alias("warehouse"),
             F.lit(0).alias("accepted"),
             (F.col("l_quantity") - 25).alias("effective_inventory"),
         )
@@ -189,9 +189,9 @@ class EarlierTables(DriverTables):
 
     @cached_property
     def sold_units(self) -> DataFrame:
-        """Line items as fulfilled units, the four weeks the extract looks at and more."""
+        """Line items as fulfilled units; the extract picks its four weeks."""
         status = F.when(F.col("l_returnflag") == "R", "customer_cancelled").otherwise("open")
-        return self.lines(PERIOD.shift("wk_end", -60), PERIOD.wk_end).select(
+        return self.lines().select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("fulfill_item_unit_id"),
             F.col("l_partkey").alias("product_id_key"),
             F.col("l_suppkey").alias("seller_id_key"),
@@ -212,7 +212,7 @@ class EarlierTables(DriverTables):
             F.col("o_orderkey").alias("id"),
             status.alias("status"),
             F.col("o_orderdate").alias("created_at"),
-            F.concat(F.lit("FC"), (F.col("o_custkey") % NATIONS).cast("string")).alias(
+            F.concat(F.lit("FC"), (F.col("o_custkey") % self.nations).cast("string")).alias(
                 "origin_warehouse_id"
             ),
         )

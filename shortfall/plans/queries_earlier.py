@@ -69,7 +69,7 @@ query(
     f"""SELECT fsn, "FC", reco_week, total_qty_recomended, {rounded(['total_forecast_qty'])}, projected_qty FROM g_reco""",
 )(lambda t: t.earlier.reco)
 query("forecast_diff_g1", f'SELECT fsn, "FC", {rounded(["forecast_diff"])} FROM g_forecast')(
-    lambda t: t.earlier.forecast_diff.where("fsn is not null")
+    lambda t: t.earlier.forecast_diff
 )
 query("national_doh", "SELECT * FROM g_doh")(lambda t: t.earlier.national_doh)
 query("po_adherence", "SELECT * FROM g_adherence")(lambda t: t.earlier.po_adherence)

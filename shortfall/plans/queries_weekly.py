@@ -44,7 +44,8 @@ query(
 query(
     "sales_week",
     """SELECT fsn, dest_pincode, CAST(day AS VARCHAR) AS day, sales, ru_sales, nat_sales,
-       sales - ru_sales - nat_sales AS unmapped_sales FROM a_sales_raw WHERE (dayofyear(day) - 1) // 7 + 1 = 26""",
+       sales - ru_sales - nat_sales AS unmapped_sales FROM a_sales_raw WHERE (dayofyear(day) - 1) // 7 + 1 = 26
+       AND year(day) = 1998""",
 )(
     lambda t: prepare.clean_sales(
         t.sales_raw.withColumn("week", F.floor((F.dayofyear("day") - 1) / 7) + 1), PERIOD
@@ -91,6 +92,7 @@ query(
        WHERE e.lzn_value IN ('L1', 'L2', 'Z1', 'Z2') AND e.effective_inventory > 0
          AND n.lzn_value IN ('N1', 'N2') AND n.is_accepted = 'true'
          AND (dayofyear(e.day) - 1) // 7 + 1 = 26 AND (dayofyear(n.day) - 1) // 7 + 1 = 26
+         AND year(e.day) = 1998 AND year(n.day) = 1998
        GROUP BY e.fsn, e.dest_pincode""",
 )(
     lambda t: issues.fulfilment_engine_issue(

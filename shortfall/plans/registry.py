@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shortfall.plans.earlier_tables import EarlierTables
 from shortfall.plans.earlier_views import EARLIER_VIEWS
 from shortfall.plans.views import rounded, with_views
+from shortfall.session import tune
 
 Build = Callable[[EarlierTables], DataFrame]
 
@@ -49,7 +50,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from shortfall.plans import queries_blocks, queries_earlier, queries_weekly  # noqa: F401
 
     def runner(build: Build):
-        return lambda spark, sf_dir: presentable(build(EarlierTables(spark, sf_dir)))
+        return lambda spark, sf_dir: presentable(build(EarlierTables(tune(spark), sf_dir)))
 
     return {name: runner(build) for name, build in BUILDS.items()}
 

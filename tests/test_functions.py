@@ -120,3 +120,15 @@ def test_text_helpers(spark):
         True, True, True, False, None,
     ]
     assert text.strip_qualifiers(spark.range(1).toDF("t.id")).columns == ["id"]
+
+
+def test_week_days_are_the_days_of_the_week_number():
+    for rule in ("block", "legacy"):
+        for day in (dt.date(2016, 12, 31), dt.date(2017, 1, 1), dt.date(2017, 1, 7), dt.date(2017, 6, 3)):
+            first, last = Period(day, day, rule).week_days
+            numbers = {
+                k: Period(k, k, rule).week
+                for k in (dt.date(day.year, 1, 1) + dt.timedelta(n) for n in range(365))
+            }
+            week = [k for k, number in numbers.items() if number == Period(day, day, rule).week]
+            assert first == week[0] and last >= week[-1] and last.year == day.year
