@@ -2,4 +2,58 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+WORD = r"[^\x20\x09-\x0D]+"
+
+#: Sets of shingles as lists, links by shared shingles, components by following links.
+JACCARD = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS shingles
+  FROM words),
+tokens AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS token FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM tokens a JOIN tokens b ON a.token = b.token AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * COUNT(*) >= 75 * (a.n + b.n - COUNT(*))),
+reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles,
+       CAST(LEAST(s.doc_id, COALESCE(m.low, s.doc_id)) AS BIGINT) AS component_id
+FROM sets s LEFT JOIN (SELECT x, MIN(y) AS low FROM reach GROUP BY x) m ON m.x = s.doc_id"""
+
+#: Sources fill up in the order of limit by weight; the first that stays below its limit sets the level.
+MIXING = rf"""
+WITH docs AS (
+  SELECT doc_id, source, CAST(COALESCE(len(regexp_extract_all(text, '{WORD}')), 0) AS BIGINT) AS size,
+         md5(COALESCE(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
+sources AS (SELECT source, CAST(SUM(size) AS BIGINT) AS source_size FROM docs GROUP BY source),
+ranked AS (
+  SELECT source, source_size, CAST(row_number() OVER (ORDER BY source NULLS LAST) - 1 AS DOUBLE) AS rank FROM sources),
+weighed AS (SELECT *, rank % 3 + 1 AS weight, CAST(source_size AS DOUBLE) * 3 AS most FROM ranked),
+levels AS (
+  SELECT most / weight AS fills_at,
+         ((SELECT SUM(CAST(source_size AS DOUBLE)) FROM sources)
+          - COALESCE(SUM(most) OVER (ORDER BY most / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / SUM(weight) OVER (ORDER BY most / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed),
+aimed AS (
+  SELECT source, source_size,
+         LEAST(most, weight * (SELECT arg_min(level, fills_at) FROM levels WHERE fills_at > level)) AS target,
+         -0.6::DOUBLE + 1.2::DOUBLE * rank / GREATEST((SELECT MAX(rank) FROM ranked), 1) AS slope
+  FROM weighed),
+placed AS (
+  SELECT d.doc_id, d.size, a.source_size, a.target, a.slope,
+         CASE WHEN a.source_size > 0 THEN a.target / a.source_size ELSE 0 END AS epochs,
+         SUM(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size AS place
+  FROM docs d JOIN aimed a ON a.source IS NOT DISTINCT FROM d.source),
+copied AS (
+  SELECT *, CASE WHEN size = 0 THEN 0 ELSE FLOOR(epochs)
+         + CASE WHEN place + CAST(size AS DOUBLE) / 2 < (epochs - FLOOR(epochs)) * source_size THEN 1 ELSE 0 END END AS copies,
+         LEAST(1, (place + CAST(size AS DOUBLE) / 2) / target) AS done FROM placed)
+SELECT doc_id, size, source_size, ROUND(target, 6) AS target, CAST(copies * size AS BIGINT) AS taken,
+       ROUND(CASE WHEN copies = 0 THEN NULL WHEN ABS(slope) < 1e-9 THEN done
+         ELSE (SQRT((1 - slope) * (1 - slope) + 4 * slope * done) - (1 - slope)) / (2 * slope) END, 6) AS position
+FROM copied"""
+
+ORACLES: dict[str, str] = {"op3_jaccard_join": JACCARD, "op8_mixing": MIXING}
