@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shortfall.llm.base import Store, arrow_rows
@@ -304,30 +304,72 @@ def best_leaders(rows: DataFrame, tries: int = 4) -> DataFrame:
     ).distinct()
 
 
+def viable(rows: DataFrame, threshold: int) -> DataFrame:
+    """Rows (node, bins): classes that may still have a link, and the sizes of set it may be with.
+
+    ``rows``: token, node, n, ask, inner, component; sizes are binned by their
+    logarithm. A class shares with a set of a bin no more prefix tokens than
+    it has buckets with such a set of another component, and no more others
+    than follow the end of the prefix that ends first. Most near copies whose
+    edits add up to too much end here, before they are paired with anything.
+    """
+    both = 100 + threshold
+    # what may follow a prefix against larger sets, and against any
+    inner_after = f"({2 * threshold} * n + {both - 1}) div {both} - ask"
+    after = f"({threshold} * n + 99) div 100 - ask"
+    sized = rows.withColumn("bin", size_bin("n"))
+    own = F.col("component")
+    inner = F.when(F.col("inner"), own)
+    bins = sized.groupBy("token", "bin").agg(
+        F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.min("ask").alias("b_ask"),
+        F.max(F.expr(inner_after)).alias("b_inner_after"), F.max(F.expr(after)).alias("b_after"),
+        F.min(own).alias("low"), F.max(own).alias("high"),
+        F.min(inner).alias("inner_low"), F.max(inner).alias("inner_high"),
+    )
+    fits = f"100 * n >= {threshold} * n_low and 100 * n_high >= {threshold} * n"
+    met = rows.join(bins, "token").filter(fits).groupBy("node", "n", "ask", "bin").agg(
+        F.count_if(F.expr("inner and (low != component or high != component)")).alias("as_smaller"),
+        F.count_if(F.expr("inner_low != component or inner_high != component")).alias("as_larger"),
+        F.min("n_low").alias("n_low"), F.max("n_high").alias("n_high"), F.min("b_ask").alias("b_ask"),
+        F.max("b_inner_after").alias("b_inner_after"), F.max("b_after").alias("b_after"),
+    )
+    smaller = (
+        f"n_high >= n and as_smaller >= least(ask, b_ask) and (as_smaller + greatest({inner_after}, b_after)) * {both}"
+        f" >= {threshold} * (n + greatest(n, n_low))"
+    )
+    larger = (
+        f"n_low <= n and as_larger >= least(ask, b_ask) and (as_larger + greatest({after}, b_inner_after)) * {both}"
+        f" >= {threshold} * (n + greatest(n_low, ({threshold} * n + 99) div 100))"
+    )
+    return met.filter(f"({smaller}) or ({larger})").groupBy("node").agg(
+        F.collect_set("bin").alias("bins")  # of sizes within the threshold: 10 at 75 at most
+    )
+
+
+def size_bin(n: str) -> Column:
+    """Bin of a set's size; a bin's sizes differ by a sixteenth or so."""
+    return F.floor(F.log(n) * 16).cast("int")
+
+
 def remaining_pairs(rows: DataFrame, threshold: int) -> DataFrame:
     """All candidate pairs of classes that are still in different components.
 
     In each bucket the rows outside its largest component meet all others, so
     the largest component is never paired with itself.
     """
-    # a class needs as many buckets as the least that any pair in them asks for
-    asked = rows.groupBy("token").agg(F.min("ask").alias("least"))
-    enough = (
-        rows.join(asked, "token").groupBy("node")
-        .agg(F.count(F.lit(1)).alias("met"), F.min("least").alias("least")).filter("met >= least")
-    )
-    rows = rows.join(enough.select("node"), "node")
+    rows = rows.join(viable(rows, threshold), "node").withColumn("bin", size_bin("n"))
     sizes = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("token").agg(
         F.max_by("component", F.struct("size", "component")).alias("largest")
     )
     rows = rows.join(largest, "token")
-    other = rows.select(
-        "token", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "ask", "component", "largest")]
-    )
+    columns = ("node", "n", "ask", "component", "largest", "bin", "bins")
+    other = rows.select("token", *[F.col(c).alias(f"o_{c}") for c in columns])
     # the smaller of two sets meets the larger by its inner tokens
-    smaller = "component != o_component and (n < o_n or n = o_n and node < o_node) and 100 * n >= {} * o_n"
-    smaller = smaller.format(threshold)
+    smaller = (
+        "component != o_component and (n < o_n or n = o_n and node < o_node)"
+        " and array_contains(bins, o_bin) and array_contains(o_bins, bin)"
+    )
     inner = rows.filter("inner")
     met = inner.filter("component != largest").join(other, "token").filter(smaller).unionByName(
         inner.filter("component = largest").join(other.filter("o_component != o_largest"), "token").filter(smaller)
@@ -339,7 +381,7 @@ def remaining_pairs(rows: DataFrame, threshold: int) -> DataFrame:
     both = 100 + threshold
     after = f"({2 * threshold} * n + {both - 1}) div {both} - ask"
     o_after = f"({threshold} * o_n + 99) div 100 - o_ask"
-    return counted.filter("shared >= least(ask, o_ask)").filter(
+    return counted.filter(f"100 * n >= {threshold} * o_n and shared >= least(ask, o_ask)").filter(
         f"(shared + greatest({after}, {o_after})) * {both} >= {threshold} * (n + o_n)"
     ).select(F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b"))
 
@@ -363,7 +405,7 @@ def jaccard_groups(
     words: int = 5,
     threshold: int = 75,
     most_frequent: int = 65_536,
-    leader_rounds: int = 3,
+    leader_rounds: int = 2,
 ) -> DataFrame:
     """Rows (doc_id, text_key, n_shingles, component_id, component), one for each row of ``docs``.
 
@@ -428,6 +470,9 @@ def grouped(
         .join(classes.select("node", "n"), "node")
     )
 
+    hopeful = viable(with_components(buckets, None), threshold).select("node")
+    buckets = store.put(buckets.join(hopeful, "node"))
+
     links, labels = None, None
     for turn in range(leader_rounds + 1):
         rows = store.put(with_components(buckets, labels))
