@@ -232,7 +232,8 @@ def texts_of(docs: DataFrame, pairs: DataFrame, classes: DataFrame, store: Store
         .filter(F.call_function("getbit", "bits", place) == 1)
         .select("text_key", "text")
     )
-    return store.put(wanted.join(keys, "text_key").dropDuplicates(["node"]).select("node", "text"))
+    # with the key, the rows of a node are together already
+    return store.put(wanted.join(keys, "text_key").dropDuplicates(["text_key", "node"]).select("node", "text"))
 
 
 def of_like_size(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
@@ -456,11 +457,11 @@ def grouped(
         prefixes(keyed.select("text"), shingler, order)
         .withColumn("part", part)
         .select(
-            "token", "node", F.min(plain_node).over(bucket).alias("low"), F.max(plain_node).over(bucket).alias("high")
+            "token", "part", "node", F.min(plain_node).over(bucket).alias("low"), F.max(plain_node).over(bucket).alias("high")
         )
         .filter(hot | (F.col("low") != F.col("high")))
-        .select("token", "node")
-        .distinct()
+        .select("token", "part", "node")
+        .distinct()  # rows of one token and part are together already
         .select(
             "token",
             plain_node.alias("node"),
