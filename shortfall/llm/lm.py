@@ -32,6 +32,8 @@ SLOT_BITS = 22
 HEAD, MARK, TAIL, WINDOW, CLASS = range(5)
 ROWS = "kind int, key long, text long, n int"
 CHUNK = 1 << 20
+#: Windows of a batch that are added up at once.
+HELD = 1 << 22
 
 
 def keyed_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -187,17 +189,26 @@ class Symbols:
         return symbol, one, two, owner
 
 
-def count(texts: DataFrame, symbols: Symbols, windows_each: int) -> DataFrame:
+def window_rows(packed: list[np.ndarray], seed: int) -> pa.RecordBatch:
+    """Equal windows as one row with their number, in random order."""
+    keys, times = np.unique(np.concatenate(packed), return_counts=True)
+    mixed = np.random.default_rng(seed & 0xFFFFFFFF).permutation(len(keys))
+    return batch_of(WINDOW, keys[mixed], None, times[mixed])
+
+
+def count(texts: DataFrame, symbols: Symbols) -> DataFrame:
     """One pass over all texts: head counts, class counts, rows of other words, training windows.
 
     A TAIL row is (word, text, times in the text), times negative where the
-    text is held out. Every training text gives about ``windows_each`` windows.
+    text is held out. Every training token is a window; a WINDOW row is
+    (two before, one before and symbol packed, times among some of a batch).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = np.zeros(len(symbols.head.keys) + 1, np.int64)
             classes = np.zeros(CLASSES, np.int64)
+            packed, held = [], 0
             for chunk, _ in chunks(batch):
                 found = symbols.head.find(chunk.keys)
                 training = chunk.training[chunk.owner]
@@ -217,11 +228,14 @@ def count(texts: DataFrame, symbols: Symbols, windows_each: int) -> DataFrame:
                     yield batch_of(TAIL, keys[first], chunk.texts[owner[first]], signed)
                 yield batch_of(MARK, np.zeros(len(chunk.texts), np.int64), chunk.texts, np.ones(len(chunk.texts)))
                 symbol, one, two, of = symbols.stream(chunk, found)
-                share = windows_each / np.bincount(of, minlength=len(chunk.texts))[of]
-                rng = np.random.default_rng(int(chunk.texts[0]) & 0xFFFFFFFF)
-                use = chunk.training[of] & (rng.random(len(of)) < share)
-                packed = (two[use] << 40) | (one[use] << 20) | symbol[use]
-                yield batch_of(WINDOW, packed, None, np.ones(len(packed)))
+                use = chunk.training[of]
+                packed.append((two[use] << 40) | (one[use] << 20) | symbol[use])
+                held += len(packed[-1])
+                if held >= HELD:
+                    yield window_rows(packed, int(chunk.texts[0]))
+                    packed, held = [], 0
+            if held:
+                yield window_rows(packed, held)
             some = np.flatnonzero(counts)
             yield batch_of(HEAD, some, None, counts[some])
             some = np.flatnonzero(classes)
@@ -230,6 +244,16 @@ def count(texts: DataFrame, symbols: Symbols, windows_each: int) -> DataFrame:
     return texts.mapInArrow(run, ROWS)
 
 
+def summed(at: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """A table of ``size`` rows: the sum of ``rows`` by the table's row ``at``."""
+    order = np.argsort(at, kind="stable")
+    ordered = at[order]
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    out = np.zeros((size, rows.shape[1]), rows.dtype)
+    out[ordered[first]] = np.add.reduceat(rows[order], first)
+    return out
+
+
 @dataclass
 class Model:
     """Context vectors of the symbols, one scale for each context place, target vectors, biases."""
@@ -243,10 +267,10 @@ class Model:
     def new(cls, symbols: Symbols, unigram: np.ndarray, size: int, seed: int = 5) -> Model:
         rng = np.random.default_rng(seed)
         return cls(
-            rng.normal(0, 0.15, (symbols.outputs + 1, size)),
-            np.ones((2, size)) * [[1.0], [0.7]],
-            rng.normal(0, 0.15, (symbols.outputs, size)),
-            np.log(unigram),
+            rng.normal(0, 0.15, (symbols.outputs + 1, size)).astype(np.float32),
+            (np.ones((2, size)) * [[1.0], [0.7]]).astype(np.float32),
+            rng.normal(0, 0.15, (symbols.outputs, size)).astype(np.float32),
+            np.log(unigram).astype(np.float32),
         )
 
     def flat(self) -> np.ndarray:
@@ -255,38 +279,43 @@ class Model:
     def filled(self, flat: np.ndarray) -> Model:
         out, at = [], 0
         for x in (self.context, self.scale, self.target, self.bias):
-            out.append(flat[at : at + x.size].reshape(x.shape).copy())
+            out.append(flat[at : at + x.size].reshape(x.shape).astype(np.float32))
             at += x.size
         return Model(*out)
 
-    def train(self, windows: np.ndarray, noise: np.ndarray, rng, negatives: int, rate: float, sums) -> None:
-        """One NCE step by AdaGrad on windows (two before, one before, symbol).
+    def train(self, windows: np.ndarray, times: np.ndarray, noise: np.ndarray, rng, negatives: int, rate: float, sums) -> None:
+        """One NCE step by AdaGrad on windows (two before, one before, symbol), each met ``times``.
 
         The noise words are shared by the batch, so that their scores are one
         matrix product; each stands for ``negatives`` / their number draws.
         """
         two, one, symbol = windows
+        times = times.astype(np.float32)
         drawn = rng.choice(len(noise), 4 * negatives, p=noise)
-        each = negatives / len(drawn)
+        each = np.float32(negatives / len(drawn))
         a, b = self.context[one], self.context[two]
         q = a * self.scale[0] + b * self.scale[1]
-        shift = np.log(negatives * noise)
-        real = (q * self.target[symbol]).sum(1) + self.bias[symbol] - shift[symbol]
-        fake = q @ self.target[drawn].T + self.bias[drawn] - shift[drawn]
-        g_real = 1 / (1 + np.exp(real))
-        g_fake = -each / (1 + np.exp(-fake))
-        grad_q = g_real[:, None] * self.target[symbol] + g_fake @ self.target[drawn]
-        grads = [np.zeros_like(x) for x in (self.context, self.scale, self.target, self.bias)]
-        np.add.at(grads[0], one, grad_q * self.scale[0])
-        np.add.at(grads[0], two, grad_q * self.scale[1])
-        grads[1][0], grads[1][1] = (grad_q * a).sum(0), (grad_q * b).sum(0)
-        np.add.at(grads[2], symbol, g_real[:, None] * q)
-        np.add.at(grads[2], drawn, g_fake.T @ q)
-        np.add.at(grads[3], symbol, g_real)
-        np.add.at(grads[3], drawn, g_fake.sum(0))
+        offset = self.bias - np.log(negatives * noise).astype(np.float32)
+        target, others = self.target[symbol], self.target[drawn]
+        real = np.einsum("ij,ij->i", q, target) + offset[symbol]
+        fake = q @ others.T + offset[drawn]
+        g_real = times / (1 + np.exp(real))
+        g_fake = (-each * times)[:, None] / (1 + np.exp(-fake))
+        grad_q = g_real[:, None] * target + g_fake @ others
+        at = np.concatenate([symbol, drawn])
+        grads = [
+            summed(
+                np.concatenate([one, two]),
+                np.concatenate([grad_q * self.scale[0], grad_q * self.scale[1]]),
+                len(self.context),
+            ),
+            np.stack([np.einsum("ij,ij->j", grad_q, a), np.einsum("ij,ij->j", grad_q, b)]),
+            summed(at, np.concatenate([g_real[:, None] * q, g_fake.T @ q]), len(self.target)),
+            np.bincount(at, np.concatenate([g_real, g_fake.sum(0)]), len(self.bias)).astype(np.float32),
+        ]
         for x, grad, total in zip((self.context, self.scale, self.target, self.bias), grads, sums):
             total += grad * grad
-            x += rate * grad / np.sqrt(total)
+            x += np.float32(rate) * grad / np.sqrt(total)
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Scores by (one before, symbol) and (two before, symbol), and log normalisers by both."""
@@ -315,16 +344,17 @@ def trained(
             rng = np.random.default_rng(100 + turn)
             seen = 0
             for part in batches:
-                packed = part.column("key").to_numpy()
-                packed = packed[rng.permutation(len(packed))]
+                mixed = rng.permutation(part.num_rows)
+                packed = part.column("key").to_numpy()[mixed]
+                times = part.column("n").to_numpy()[mixed]
                 for low in range(0, len(packed), batch):
-                    w = packed[low : low + batch]
+                    w, n = packed[low : low + batch], times[low : low + batch]
                     mine.train(
-                        (w >> 40, (w >> 20) & 0xFFFFF, w & 0xFFFFF), noise, rng, negatives, rate, sums
+                        (w >> 40, (w >> 20) & 0xFFFFF, w & 0xFFFFF), n, noise, rng, negatives, rate, sums
                     )
-                    seen += len(w)
+                    seen += int(n.sum())
             if seen:
-                flat = mine.flat()
+                flat = mine.flat().astype(float)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(len(flat))), pa.array(flat * seen), pa.array(np.full(len(flat), float(seen)))],
                     names=["i", "total", "weight"],
@@ -349,12 +379,11 @@ def language_model(
     most_frequent: int = 262_144,
     model_words: int = 1023,
     size: int = 32,
-    windows_each: int = 32,
 ) -> DataFrame:
     """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one a document.
 
-    Learns from documents whose crc32(doc_id) mod 7 is not 2 and scores all,
-    over whole texts. Null and empty texts are just an end. Null doc_ids are
+    Learns from every token of the documents whose crc32(doc_id) mod 7 is not
+    2, in each round, and scores all, over whole texts. Null and empty texts are just an end. Null doc_ids are
     hashed as empty text. Repeated rows count as often in training and get
     equal results; no rows give no rows; other columns are ignored. Without a
     training token every word is unknown and the model is uniform.
@@ -372,7 +401,7 @@ def language_model(
     slim = texts.select("key", "text", "training")
     head = frequent_words(slim, most_frequent)
     symbols = Symbols(head, min(model_words, len(head.keys)))
-    rows = store.put(count(slim, symbols, windows_each))
+    rows = store.put(count(slim, symbols))
 
     # counts of the head and of the classes' other words: bounded tables
     known = rows.filter(F.col("kind").isin(HEAD, CLASS)).groupBy("kind", "key").agg(F.sum("n").alias("n")).toPandas()
@@ -429,7 +458,7 @@ def language_model(
     unigram = np.concatenate([[end], head_counts[:words], class_tokens]) + 0.5
     noise = unigram / unigram.sum()
 
-    windows = rows.filter(F.col("kind") == WINDOW).select("key")
+    windows = rows.filter(F.col("kind") == WINDOW).select("key", "n")
     model = trained(spark, windows, Model.new(symbols, noise, size), noise)
     first, second, norm = model.tables()
     log_count = np.log10(head_counts[:-1] + 1)

@@ -81,6 +81,24 @@ def test_language_model_counts(spark):
     assert lm.language_model(spark, frame.limit(0)).count() == 0
 
 
+def test_every_training_token_is_a_window(spark):
+    texts = ["a b c d " * 300, "a b", "", "b a c", "d " * 50]
+    frame = spark.createDataFrame([(i, t, i != 3) for i, t in enumerate(texts)], "key long, text string, training boolean")
+    head = lm.frequent_words(frame, 20)
+    symbols = lm.Symbols(head, len(head.keys))
+    rows = lm.count(frame, symbols).filter(f"kind = {lm.WINDOW}").collect()
+    want = Counter()
+    for i, text in enumerate(texts):
+        if i != 3:
+            keys, _ = lm.keyed_words(text.encode())
+            stream = [symbols.start] * 2 + symbols.of(keys, head.find(keys)).tolist() + [0]
+            want.update(zip(stream, stream[1:], stream[2:]))
+    got = Counter()
+    for r in rows:
+        got[(r.key >> 40, (r.key >> 20) & 0xFFFFF, r.key & 0xFFFFF)] += r.n
+    assert got == want and sum(got.values()) == sum(len(t.split()) + 1 for i, t in enumerate(texts) if i != 3)
+
+
 def test_main_text():
     long = "this is the text of the article and it has all of the words that a reader of it would want " * 3
     page = f"""<nav><a href=1>One</a></nav><div class="cookie-notice">{long}</div><h2>A title</h2><p>{long}</p>
