@@ -129,20 +129,16 @@ def batch_of(kind: int, key: np.ndarray, text: np.ndarray | None, n: np.ndarray)
 
 
 def frequent_words(texts: DataFrame, most: int) -> Head:
-    """The head: words by their counts in all training texts, rare ones of a batch left out.
+    """The head: the most frequent words by their exact counts in all training texts.
 
-    Which words it holds doesn't change a result, since others are counted exactly too.
+    The model's words are the first of it, so its order must not depend on how
+    rows fall into batches: every word of a batch goes into the sum.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [c.keys[c.training[c.owner]] for c, _ in chunks(batch)]
             keys, counts = np.unique(np.concatenate([*parts, np.empty(0, np.uint64)]), return_counts=True)
-            use = counts >= 3
-            keys, counts = keys[use], counts[use]
-            if len(keys) > most:
-                top = np.argpartition(counts, len(counts) - most)[-most:]
-                keys, counts = keys[top], counts[top]
             yield batch_of(HEAD, keys, None, counts)
 
     counted = texts.mapInArrow(run, ROWS).groupBy("key").agg(F.sum("n").alias("n"))

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 from shortfall.llm import html, lm, mixing, quality, sharding, urls
+from shortfall.llm.base import arrow_rows
 
 DOCS = "doc_id long, text string, lang string, source string, size long"
 
@@ -99,6 +100,16 @@ def test_every_training_token_is_a_window(spark):
     assert got == want and sum(got.values()) == sum(len(t.split()) + 1 for i, t in enumerate(texts) if i != 3)
 
 
+def test_head_does_not_depend_on_batches(spark):
+    texts = ["often " + f"w{i} " * 2 + f"x{i % 5}" for i in range(40)]
+    frame = spark.createDataFrame([(i, t, True) for i, t in enumerate(texts)], "key long, text string, training boolean")
+    counts = Counter(lm.keyed_words(" ".join(texts).encode())[0].view("int64").tolist())
+    want = sorted(counts, key=lambda k: (-counts[k], k))[:12]
+    for size in (1, 3, 100):
+        with arrow_rows(spark, size):
+            assert lm.frequent_words(frame, 12).keys.view("int64").tolist() == want
+
+
 def test_main_text():
     long = "this is the text of the article and it has all of the words that a reader of it would want " * 3
     page = f"""<nav><a href=1>One</a></nav><div class="cookie-notice">{long}</div><h2>A title</h2><p>{long}</p>
