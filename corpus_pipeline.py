@@ -29,12 +29,12 @@ def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, in training order."""
-    return mixing.mixed(spark, docs)
+    """Documents as often as the mix takes them, in training order, with their position in it."""
+    return mixing.positioned(spark, docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard and place of each remaining row."""
+    """The shard of each remaining row and its place there, in training order."""
     return sharding.sharded(spark, docs)
 
 

@@ -156,19 +156,26 @@ def position(copy: Column) -> Column:
     return demand_time(done, F.col("_mix.slope"))
 
 
-def mixed(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The training stream: the rows of ``docs``, as often as the mix takes them, by position.
+def positioned(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The training stream: the rows of ``docs`` as often as the mix takes them, each with ``_position``.
 
     Output is range-partitioned by training position and sorted within partitions.
     """
     rows = plan(spark, docs).filter("_mix.copies > 0")
     rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(0), (F.col("_mix.copies") - 1).cast("int"))))
-    rows = rows.withColumn("_at", position(F.col("_copy")))
+    rows = rows.withColumn("_position", position(F.col("_copy")))
     return (
-        rows.repartitionByRange("_at").sortWithinPartitions("_at", "_doc.doc_id").select("_doc.*")
+        rows.repartitionByRange("_position")
+        .sortWithinPartitions("_position", "_doc.doc_id")
+        .select("_doc.*", "_position")
     )
 
 
+def mixed(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The rows of the training stream, in its order, without their positions."""
+    return positioned(spark, docs).drop("_position")
+
+
 def mixing(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Rows (doc_id, size, source_size, target, taken, position), one for each document.
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from shortfall.llm.base import Store
 
 SLOTS = 4096
+#: Parts of training time in which a shard's rows are numbered.
+TIMES = 1024
 MAP = "version int, slot int, bytes long, rows long, shard int, before long"
 
 
@@ -150,18 +152,45 @@ def assign(
     )
 
 
+def numbered(rows: DataFrame, store: Store) -> DataFrame:
+    """``rows`` with ``_place`` by training position: 0, 1, ... in each shard, without gaps.
+
+    Rows are counted by shard and part of training time (a bounded table), so
+    that a task sorts one such part, not a shard.
+    """
+    timed = F.least(F.floor(F.col("_position") * TIMES), F.lit(TIMES - 1)).cast("int")
+    rows = store.put(rows.withColumn("_time", timed))
+    counts = rows.groupBy("_shard", "_time").agg(F.count(F.lit(1)).alias("_rows"))
+    rising = Window.partitionBy("_shard").orderBy("_time")
+    starts = counts.select(
+        "_shard", "_time", (F.sum("_rows").over(rising) - F.col("_rows")).alias("_start")
+    )
+    order = Window.partitionBy("_shard", "_time").orderBy("_position", "doc_id", "_size", "_virtual")
+    return (
+        rows.withColumn("_row", F.row_number().over(order))
+        .join(F.broadcast(starts), ["_shard", "_time"])
+        .withColumn("_place", F.col("_start") + F.col("_row") - 1)
+        .drop("_time", "_row", "_start")
+    )
+
+
 def sharded(spark: SparkSession, docs: DataFrame, shards: int = 24) -> DataFrame:
     """Rows (doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot) of the documents.
 
     The law is ``bytes``: shards are near equal in bytes, so grown_shard is null.
-    ``slot`` is the place in the shard.
+    ``slot`` is the place in the shard: by training position where ``docs``
+    has it as ``_position``, else by virtual slot and doc_id.
     """
+    timed = ["_position"] if "_position" in docs.columns else []
     slim = docs.select(
         "doc_id",
         "text",
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        *timed,
     )
-    rows, _ = assign(spark, slim, shards, carry=["doc_id", "text_crc32"])
+    rows, _ = assign(spark, slim, shards, carry=["doc_id", "text_crc32", *timed])
+    if timed:
+        rows = numbered(rows.drop("_place"), Store(spark, "places"))
     return rows.select(
         "doc_id",
         F.col("_size").alias("size"),
