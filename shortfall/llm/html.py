@@ -24,6 +24,7 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 SPACE = re.compile(r"\s+")
+LINK = re.compile(r"<(/?)a(?=[\s>/])", re.I)
 NAME_PART = re.compile(r"[a-z]+")
 
 # Element names of HTML by role.
@@ -44,6 +45,10 @@ PARTS = set(
     " navigation newsletter notice pager pagination popup promo promoted related replies respond search"
     " share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+# Those of them that an article element may be itself, rather than have beside it.
+ITEMS = set(
+    "ad ads advert adverts advertisement advertising comment comments promo promoted related replies sponsored".split()
+)
 MAIN_PARTS = set("article main content post entry story".split())
 # Frequent function words of the languages read.
 STOP_WORDS = set(
@@ -84,23 +89,60 @@ def marks(attributes: str) -> set[str]:
     return found
 
 
+def holders(page: str) -> set[int]:
+    """Starts of the elements that hold every article, or every main, of a page.
+
+    Articles that are a comment or a teaser by name don't count.
+    """
+    held: dict[str, set[int]] = {}
+    stack: list[tuple[str, int]] = []
+    at = 0
+    while token := TOKEN.search(page, at):
+        at = max(token.end(), token.start() + 1)
+        if token[2] is None:
+            continue
+        name = token[2].lower()
+        if token[1]:
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][0] == name:
+                    del stack[i:]
+                    break
+        elif name in VERBATIM:
+            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
+            at = end.end() if end else len(page)
+        elif name not in EMPTY:
+            if name in ("p", "li", "dt", "dd", "option") and stack and stack[-1][0] == name:
+                stack.pop()
+            if name == "main" or (name == "article" and not marks(token[3] or "") & ITEMS):
+                around = {start for _, start in stack}
+                held[name] = held[name] & around if name in held else around
+            stack.append((name, token.start()))
+    return set().union(*held.values())
+
+
 def blocks(page: str) -> list[Block]:
-    """Blocks of text of a page in order, with the length of their links and where they stand."""
+    """Blocks of text of a page in order, with the length of their links and where they stand.
+
+    A link without end tag ends with its block. Names of parts don't bar html,
+    body and main, nor what holds the page's article.
+    """
     out: list[Block] = []
+    holding: set[int] | None = None
     stack: list[tuple[str, bool, bool, bool]] = []  # name, dropped, barred, inside an article
     parts: list[str] = []
     linked: list[str] = []
-    links = 0
+    links = 0  # 1 in a link, 2 in one without end tag
     dropped = barred = inside = False
     heading = False
 
     def close() -> None:
-        nonlocal parts, linked
+        nonlocal parts, linked, links
         text = SPACE.sub(" ", entities.unescape("".join(parts))).strip() if parts else ""
         if text:
             in_links = SPACE.sub(" ", entities.unescape("".join(linked))).strip()
             out.append(Block(text, len(in_links), barred, inside, heading))
         parts, linked = [], []
+        links = links % 2
 
     def add(text: str) -> None:
         if text and not dropped:
@@ -120,7 +162,8 @@ def blocks(page: str) -> list[Block]:
             continue
         name, closing = token[2].lower(), bool(token[1])
         if name == "a":
-            links = 0 if closing else 1
+            following = None if closing else LINK.search(page, at)
+            links = 0 if closing else 1 if following and following[1] else 2
             continue
         if name == "br":
             add(" ")
@@ -149,10 +192,15 @@ def blocks(page: str) -> list[Block]:
         if name in ("p", "li", "dt", "dd", "option") and stack and stack[-1][0] == name:
             stack.pop()
             dropped, barred, inside = stack[-1][1:] if stack else (False, False, False)
-        part = named & PARTS
-        if name in ARTICLE and named & MAIN_PARTS:
-            part = part & {"comment", "comments"}
-        bad = name in BOILERPLATE or (name == "header" and not inside) or "hidden" in named or bool(part)
+        part = set() if name in ("html", "body", "main") else named & PARTS
+        if name == "article":
+            part = part & ({"comment", "comments"} if named & MAIN_PARTS else ITEMS)
+        named_bad = name == "form" or bool(part) and name != "article"
+        if named_bad:
+            holding = holders(page) if holding is None else holding
+            if token.start() in holding:
+                part, named_bad = set(), False
+        bad = name in BOILERPLATE - {"form"} or named_bad or (name == "header" and not inside) or "hidden" in named or bool(part)
         if name in VERBATIM:
             end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
@@ -164,6 +212,11 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
+def stop_share(text: str) -> float:
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
+
+
 def first_pass(
     block: Block, most_linked: float = 0.35, short: int = 70, long: int = 200,
     some_stops: float = 0.2, many_stops: float = 0.3,
@@ -180,8 +233,7 @@ def first_pass(
         return "good" if length >= short and not block.heading else "short"
     if length < short:
         return "short"
-    words = block.text.lower().split()
-    stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
+    stops = stop_share(block.text)
     if stops >= many_stops:
         return "good" if length >= long else "near"
     if stops >= some_stops:
@@ -189,6 +241,26 @@ def first_pass(
     return "good" if length >= 2 * long and stops > 0.1 else "bad"
 
 
+def joined_runs(found: list[Block], labels: list[str], long: int = 200, many_stops: float = 0.3) -> list[str]:
+    """``labels`` with runs of near blocks made good that are long and dense enough together.
+
+    Only good and bad blocks end a run.
+    """
+    out = list(labels)
+    run: list[int] = []
+    for i, label in enumerate([*labels, "bad"]):
+        if label == "near":
+            run.append(i)
+        elif label != "short" and run:
+            length = sum(len(found[k].text) for k in run)
+            stops = stop_share(" ".join(found[k].text for k in run))
+            if length >= (long if stops >= many_stops else 2 * long):
+                for k in run:
+                    out[k] = "good"
+            run = []
+    return out
+
+
 def second_pass(found: list[Block]) -> list[Block]:
     """Blocks of the main text: short ones inherit from their nearest decided neighbours.
 
@@ -196,7 +268,7 @@ def second_pass(found: list[Block]) -> list[Block]:
     two that differ (the one before on a tie). Inside an article element, bars
     are no neighbours and no decided neighbour means good; elsewhere it means bad.
     """
-    labels = [first_pass(b) for b in found]
+    labels = joined_runs(found, [first_pass(b) for b in found])
     decided = [None if x in ("short", "near") else x for x in labels]
     for i, block in enumerate(found):
         if block.inside and block.barred:

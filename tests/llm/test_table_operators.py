@@ -119,6 +119,29 @@ def test_main_text():
     assert html.main_text("<article><h1>T</h1><p>In.<aside>no</aside></article><p>" + long) == "T In."
 
 
+def test_main_text_of_common_page_forms():
+    long = ("this is the text of the article and it has all of the words that a reader of it would want " * 3).strip()
+    nav, foot = "<nav><a href=1>One</a></nav>", "<footer>Some place</footer>"
+    for page in (
+        f'<body class="has-sidebar">{nav}<article><p>{long}</p></article>{foot}</body>',
+        f'<html class="no-banner"><body>{nav}<div id="page" class="with-sidebar"><article><p>{long}</p></article></div>',
+        f'<main class="has-sidebar"><div class="no-comments"><article class="with-header"><p>{long}</p></article></div></main>',
+        f'<form id=f><main><p>{long}</p></main></form>',
+        f"{nav}<p>{long}</p><p><a href=1>x</p>{foot}",
+        f"<a name=top><h1></h1><p>{long}</p>",
+    ):
+        assert html.main_text(page).startswith(long)
+    # parts beside the article stay out
+    page = f"<main><article><p>{long}</p></article><div class=comments><article class=comment><p>{long}</p></article></div></main>"
+    assert html.main_text(page) == long
+    page = f"<article><p>{long}</p></article><div class=related><article><p>{long} no</p></article></div>"
+    assert html.main_text(page) == long
+    assert html.main_text(f"<p>{long}</p><a href=1><h3>A</h3><p>{long} no</p></a>") == long
+    few = ["It was the best of the times that we had, and he was in it with us all.", "Then she went to the town by the sea, as they had to be there at the end of it."]
+    assert html.main_text(f"{nav}<p>{few[0]}</p><p>{few[1]}</p><p>{few[0]}</p>{foot}") == f"{few[0]} {few[1]} {few[0]}"
+    assert html.main_text(f"{nav}<p>{few[0]}</p>{foot}") == ""
+
+
 def test_mix_meets_its_targets(spark):
     rows, frame = docs(spark)
     got = mixing.mixing(spark, frame).collect()
