@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shortfall.llm import (
+    balltree,
+    bpe,
     decontaminate,
     html,
     jaccard,
@@ -16,11 +19,15 @@ from shortfall.llm import (
     mixing,
     quality,
     sharding,
+    spelling,
     toxicity,
     urls,
 )
 from shortfall.llm.base import read
 
+#: The rank file that op13 encodes with.
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(read(spark, sf_dir, "documents"))
@@ -63,6 +70,19 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(spark, read(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spark, read(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.ranked(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = bpe.ByteBPE(bpe.read_ranks(public_tokenizers.path(RANKS)), public_tokenizers.PATTERN)
+    return bpe.digests(bpe.encoded(read(spark, sf_dir, "documents"), model))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -82,6 +102,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mixing,
         op9_toxicity,
         op10_sharding,
+        op11_spelling_variants,
+        op12_ranked_search,
+        op13_byte_bpe,
         pipeline,
     )
 }

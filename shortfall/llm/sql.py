@@ -56,4 +56,74 @@ SELECT doc_id, size, source_size, ROUND(target, 6) AS target, CAST(copies * size
          ELSE (SQRT((1 - slope) * (1 - slope) + 4 * slope * done) - (1 - slope)) / (2 * slope) END, 6) AS position
 FROM copied"""
 
-ORACLES: dict[str, str] = {"op3_jaccard_join": JACCARD, "op8_mixing": MIXING}
+#: crc32 byte by byte from its table; variants by words with one code point left out; forms followed to their end.
+SPELLING = r"""
+WITH RECURSIVE remainders AS (
+  SELECT list(list_reduce([c]::BIGINT[] || range(8),
+                          lambda r, i: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END) ORDER BY c) AS t
+  FROM range(256) b(c)),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+counted AS (SELECT doc_id, run, COUNT(*) AS n FROM runs GROUP BY ALL),
+checked AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    [4294967295]::BIGINT[] || flatten(list_transform(string_split(COALESCE(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+      lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)] ELSE [195, ord(c) - 64] END))::BIGINT[],
+    lambda r, b: xor(r >> 8, t[(xor(r, b) & 255) + 1]))) AS h FROM counted, remainders),
+words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM checked),
+vocabulary AS (
+  SELECT word, CAST(SUM(n) AS BIGINT) AS n FROM words WHERE length(word) >= 6 GROUP BY word HAVING SUM(n) >= 5),
+without AS (
+  SELECT word, length(word) AS size, place, left(word, place - 1) || substr(word, place + 1) AS rest
+  FROM vocabulary, unnest(range(1, length(word) + 1)) p(place)),
+near AS (
+  SELECT a.word, b.word AS other FROM without a JOIN without b USING (size, place, rest) WHERE a.word <> b.word
+  UNION SELECT w.word, v.word FROM without w JOIN vocabulary v ON v.word = w.rest
+  UNION SELECT v.word, w.word FROM without w JOIN vocabulary v ON v.word = w.rest),
+judged AS (
+  SELECT v.word, v.n, COUNT(*) AS n_near, MAX(o.n) AS most,
+         arg_min(o.word, {'rank': -o.n, 'word': hex(o.word)}) AS top
+  FROM near JOIN vocabulary v ON v.word = near.word JOIN vocabulary o ON o.word = near.other GROUP BY v.word, v.n),
+forms AS (
+  SELECT v.word, v.n, COALESCE(j.n_near, 0) AS n_near, CASE WHEN j.most >= 5 * v.n THEN j.top END AS form,
+         CASE WHEN j.most >= 5 * v.n THEN j.most END AS form_n
+  FROM vocabulary v LEFT JOIN judged j ON j.word = v.word),
+steps(word, place) AS (
+  SELECT word, word FROM forms UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON f.word = s.place AND f.form IS NOT NULL)
+SELECT f.word, f.form, s.place AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM forms f JOIN steps s ON s.word = f.word JOIN forms e ON e.word = s.place AND e.form IS NULL"""
+
+#: Every document that shares a term with an item is scored.
+SEARCH = r"""
+WITH terms AS (
+  SELECT doc_id, place, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+                               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT doc_id, text, row_number() OVER () AS place FROM documents)),
+counted AS (SELECT place, doc_id, term, COUNT(*) AS tf FROM terms GROUP BY ALL),
+sizes AS (SELECT place, CAST(SUM(tf) AS BIGINT) AS n FROM counted GROUP BY place),
+totals AS (SELECT COUNT(*) AS docs, CAST(SUM(n) AS BIGINT) AS total FROM sizes),
+asked AS (
+  SELECT DISTINCT item, item_id, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+                                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT item_id, text, row_number() OVER () AS item FROM benchmark)),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * (SELECT docs FROM totals) + 2)::DOUBLE / (2 * COUNT(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM counted WHERE term IN (SELECT term FROM asked) GROUP BY term),
+scored AS (
+  SELECT a.item, a.item_id, c.doc_id, c.place,
+         CAST(SUM(w.w * ((1000000000 * c.tf) // (1000 * c.tf + 20 * (50 + (50 * s.n * t.docs) // t.total)))) AS BIGINT) AS score
+  FROM asked a JOIN weights w ON w.term = a.term JOIN counted c ON c.term = a.term JOIN sizes s ON s.place = c.place, totals t
+  GROUP BY a.item, a.item_id, c.doc_id, c.place)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 50"""
+
+ORACLES: dict[str, str] = {
+    "op3_jaccard_join": JACCARD,
+    "op8_mixing": MIXING,
+    "op11_spelling_variants": SPELLING,
+    "op12_ranked_search": SEARCH,
+}
