@@ -5,8 +5,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import itertools
+import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -68,16 +69,47 @@ def serialised(tokens: list[bytes]) -> bytes:
     return b"".join(pieces) + unknown + _block(2, trainer) + _block(3, normaliser)
 
 
+#: A run of spaces (Unicode white space, unlike Python's without U+001C to U+001F) and the non-spaces after it.
+STRETCH = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
+#: A place to cut: a space after a non-space.
+CUT = re.compile(r"(?<=\S) ")
+
+
+def grouped(texts: Iterable[str], length: int) -> Iterator[list[tuple[str, bool]]]:
+    """Lists of (piece of a text, whether it is the text's last), together about ``length`` code points long."""
+    group: list[tuple[str, bool]] = []
+    size = 0
+    for text in texts:
+        start = 0
+        while True:
+            cut = CUT.search(text, start + length) if len(text) - start > length else None
+            end = cut.start() if cut else len(text)
+            group.append((text[start:end], cut is None))
+            size += end - start
+            if size >= length:
+                yield group
+                group, size = [], 0
+            if cut is None:
+                break
+            start = end
+    if group:
+        yield group
+
+
 class ByteBPE:
     """Encoder and decoder of one vocabulary; what it holds grows with the vocabulary only.
 
+    ``pattern`` splits texts into pre-tokens. None of its matches may reach
+    from a non-space over a following space, nor look at what lies beyond; so a
+    text may be cut there, and stretches of spaces and the non-spaces after
+    them, which recur far more often than texts, are encoded once and kept.
     A pre-token that is itself a token is that token, even where the merges
     don't lead to it; such tokens are found once, when the model is loaded.
     """
 
-    cached = 1 << 17  # pre-tokens whose ids a worker keeps
-    cached_length = 48  # longer pre-tokens are encoded anew
-    slice_length = 1 << 18  # code points split into pre-tokens at once
+    cached = 1 << 19  # stretches whose ids a worker keeps
+    cached_length = 64  # longer stretches are encoded anew
+    group_length = 1 << 22  # code points split at once
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         missing = [b for b in range(256) if bytes([b]) not in ranks]
@@ -85,11 +117,11 @@ class ByteBPE:
             raise ValueError(f"the vocabulary lacks {len(missing)} of the 256 bytes")
         self.pattern = pattern
         self.tokens = sorted(ranks, key=ranks.__getitem__)
-        self.ids = [ranks[t] for t in self.tokens]
-        if len(set(self.ids)) < len(self.ids) or self.ids[0] < 0:
+        self.ids = np.array([ranks[t] for t in self.tokens], np.int64)
+        if self.ids[0] < 0 or (np.diff(self.ids) == 0).any():
             raise ValueError("ranks must be distinct and not negative")
         self.model = serialised(self.tokens)
-        self.key = hashlib.sha256(self.model + pattern.encode() + repr(self.ids[-1]).encode()).hexdigest()
+        self.key = hashlib.sha256(self.model + pattern.encode() + self.ids.tobytes()).hexdigest()
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
@@ -97,12 +129,10 @@ class ByteBPE:
     def _load(self) -> None:
         self._processor = sentencepiece.SentencePieceProcessor(model_proto=self.model)
         self._split = regex.compile(self.pattern)
-        self._cut = regex.compile(r"(?<=\S)\s")
-        self._known: dict[str, list[int]] = {}
+        self._known: dict[str, bytes] = {}
         found = self._processor.encode([mapped(t) for t in self.tokens], num_threads=1)
         self._whole = {t: [at] for at, (t, ids) in enumerate(zip(self.tokens, found)) if ids != [at]}
-        self._dense = self.ids[-1] == len(self.ids) - 1
-        self._bytes = dict(zip(self.ids, self.tokens))
+        self._bytes = np.array(self.tokens, object)
 
     def worker(self) -> ByteBPE:
         """This model as kept by the Python worker, loaded once per process."""
@@ -111,42 +141,58 @@ class ByteBPE:
             kept._load()
         return kept
 
-    def slices(self, text: str) -> Iterator[str]:
-        """The text in slices; no pre-token spans a cut between a non-space and a space."""
-        start = 0
-        while len(text) - start > self.slice_length:
-            cut = self._cut.search(text, start + self.slice_length)
-            if cut is None:
-                break
-            yield text[start : cut.start()]
-            start = cut.start()
-        yield text[start:]
-
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text, pre-token by pre-token, without special tokens."""
+    def _learn(self, stretches: set[str]) -> None:
+        """Encode stretches, each distinct pre-token of theirs once."""
+        order = list(stretches)
+        split = [self._split.findall(s) for s in order]
+        parts = list(set(itertools.chain.from_iterable(split)))
+        data = [p.encode() for p in parts]
+        ends = list(itertools.accumulate(map(len, data), initial=0))
+        letters = mapped(b"".join(data))
+        found = self._processor.encode([letters[i:j] for i, j in itertools.pairwise(ends)], num_threads=1)
+        if self._whole:
+            found = [self._whole.get(d, i) for d, i in zip(data, found)]
+        places = np.fromiter(itertools.chain.from_iterable(found), np.int64)
+        flat = self.ids[places].astype(np.int32).tobytes()
+        bounds = itertools.accumulate((4 * len(i) for i in found), initial=0)
+        ids = {p: flat[i:j] for p, (i, j) in zip(parts, itertools.pairwise(bounds))}
+        self._known.update((s, b"".join(map(ids.__getitem__, pre))) for s, pre in zip(order, split))
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """Ids of each text, pre-token by pre-token, without special tokens.
+
+        Texts are gathered to groups of bounded length, long ones are cut, and
+        the stretches of a group that are not known are encoded together.
+        """
         known = self._known
-        out: list[int] = []
-        for part in self.slices(text):
-            found = self._split.findall(part)
-            new = [p for p in set(found) if p not in known]
-            made = {}
+        parts: list[bytes] = []
+        for group in grouped(texts, self.group_length):
+            split = [STRETCH.findall(part) for part, _ in group]
+            new = set().union(*split)
+            if len(known) + len(new) > self.cached:
+                known.clear()
+            new.difference_update(known)
             if new:
-                data = [p.encode() for p in new]
-                ids = self._processor.encode([mapped(d) for d in data], num_threads=1)
-                made = {p: self._whole.get(d, i) for p, d, i in zip(new, data, ids)}
-                if len(known) + len(made) > self.cached:
-                    made.update((p, known[p]) for p in set(found) if p in known)
-                    known.clear()
-                known.update((p, i) for p, i in made.items() if len(p) <= self.cached_length)
-            for p in found:
-                out += known[p] if p in known else made[p]
-        if not self._dense:
-            out = [self.ids[i] for i in out]
-        return out
-
-    def decode(self, ids: list[int]) -> bytes:
+                self._learn(new)
+            for stretches, (_, last) in zip(split, group):
+                parts.append(b"".join(map(known.__getitem__, stretches)))
+                if last:
+                    yield np.frombuffer(b"".join(parts), np.int32)
+                    parts = []
+            for long in [s for s in new if len(s) > self.cached_length]:
+                del known[long]
+
+    def encode(self, text: str) -> list[int]:
+        (ids,) = self.encode_all([text])
+        return ids.tolist()
+
+    def decode(self, ids: np.ndarray | list[int]) -> bytes:
         """Bytes of ids, by the inverse mapping; an id outside of the vocabulary is an error."""
-        return b"".join(map(self._bytes.__getitem__, ids))
+        ids = np.asarray(ids, np.int64)
+        at = np.searchsorted(self.ids, ids)
+        if len(ids) and (at.max() == len(self.ids) or (self.ids[at] != ids).any()):
+            raise KeyError("an id is not in the vocabulary")
+        return b"".join(self._bytes[at].tolist())
 
 
 _WORKERS: dict[str, ByteBPE] = {}
@@ -157,8 +203,7 @@ def encode(model: ByteBPE, text: Column) -> Column:
 
     @F.arrow_udf("array<int>")
     def ids_of(texts: pa.Array) -> pa.Array:
-        bpe = model.worker()
-        ids = [np.array(bpe.encode(t.as_py() or ""), np.int32) for t in texts]
+        ids = list(model.worker().encode_all(t or "" for t in texts.to_pylist()))
         ends = np.cumsum([0] + [len(i) for i in ids]).astype(np.int32)
         return pa.ListArray.from_arrays(ends, np.concatenate([*ids, np.empty(0, np.int32)]))
 
@@ -171,7 +216,7 @@ def decode(model: ByteBPE, ids: Column) -> Column:
     @F.arrow_udf("binary")
     def bytes_of(lists: pa.Array) -> pa.Array:
         bpe = model.worker()
-        return pa.array([bpe.decode(i.values.to_pylist() if i.is_valid else []) for i in lists], pa.binary())
+        return pa.array([bpe.decode(i.values.to_numpy()) if i.is_valid else b"" for i in lists], pa.binary())
 
     return bytes_of(ids)
 
@@ -180,7 +225,7 @@ def encoded(docs: DataFrame, model: ByteBPE) -> DataFrame:
     """Rows (doc_id, ids, decoded) of whole texts: their ids and the bytes these decode to.
 
     A null text counts as empty; empty texts have no ids. Long texts are split
-    into pre-tokens slice by slice. Repeated rows and null ids keep their rows,
+    into pre-tokens piece by piece. Repeated rows and null ids keep their rows,
     other columns are ignored, an empty table gives no rows.
     """
     rows = docs.select("doc_id", encode(model, F.col("text")).alias("ids"))

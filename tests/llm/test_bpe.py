@@ -57,18 +57,20 @@ def test_whole_table_equals_the_library(spark, model, library):
 
 def test_every_code_point_equals_the_library(model, library):
     worker = model.worker()
-    for start in range(0, 0x110000, 64):
-        text = " ".join(f"a{chr(c)}b1{chr(c)}2" for c in range(start, start + 64) if not 0xD800 <= c < 0xE000)
+    for start in range(0, 0x110000, 4096):
+        text = " ".join(f"a{chr(c)}b1{chr(c)}{chr(c)}2 {chr(c)} {chr(c)}x" for c in range(start, start + 4096) if not 0xD800 <= c < 0xE000)
         assert worker.encode(text) == library.encode_ordinary(text)
 
 
-def test_slices_do_not_change_ids(model, library, monkeypatch):
+def test_pieces_do_not_change_ids(model, library, monkeypatch):
     worker = model.worker()
-    monkeypatch.setattr(worker, "slice_length", 50)
+    monkeypatch.setattr(worker, "group_length", 50)
     monkeypatch.setattr(worker, "cached", 20)
-    for text in TEXTS[2:]:
-        assert "".join(worker.slices(text)) == text
-        assert worker.encode(text) == library.encode_ordinary(text)
+    texts = [t or "" for t in TEXTS]
+    for group in (texts, texts[::-1], [], [""]):
+        assert [i.tolist() for i in worker.encode_all(group)] == [library.encode_ordinary(t) for t in group]
+    pieces = [p for g in bpe.grouped(texts, 50) for p in g]
+    assert "".join(p for p, _ in pieces) == "".join(texts) and sum(last for _, last in pieces) == len(texts)
 
 
 def test_tokens_that_merges_do_not_reach(tmp_path):
