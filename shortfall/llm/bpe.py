@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import itertools
+import operator
 import re
 import struct
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -132,7 +135,10 @@ class ByteBPE:
         self._known: dict[str, bytes] = {}
         found = self._processor.encode([mapped(t) for t in self.tokens], num_threads=1)
         self._whole = {t: [at] for at, (t, ids) in enumerate(zip(self.tokens, found)) if ids != [at]}
-        self._bytes = np.array(self.tokens, object)
+        self._dense = len(self.ids) == self.ids[-1] + 1
+        self._flat = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self._lengths = np.array([len(t) for t in self.tokens], np.int32)
+        self._starts = (np.cumsum(self._lengths) - self._lengths).astype(np.int32)
 
     def worker(self) -> ByteBPE:
         """This model as kept by the Python worker, loaded once per process."""
@@ -141,22 +147,31 @@ class ByteBPE:
             kept._load()
         return kept
 
-    def _learn(self, stretches: set[str]) -> None:
-        """Encode stretches, each distinct pre-token of theirs once."""
-        order = list(stretches)
-        split = [self._split.findall(s) for s in order]
-        parts = list(set(itertools.chain.from_iterable(split)))
+    def _learn(self, stretches: set[str]) -> dict[str, bytes]:
+        """The ids of stretches, as bytes of 32-bit numbers.
+
+        Stretches that begin with a space and end without meet each other where
+        texts may be cut, so they are split together.
+        """
+        plain = [s for s in stretches if s[0] == " " and not s[-1].isspace()]
+        rest = list(stretches.difference(plain))
+        parts = self._split.findall("".join(plain))
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64))
+        n_parts = np.searchsorted(ends, np.cumsum(np.fromiter(map(len, plain), np.int64))) + 1
+        alone = [self._split.findall(s) for s in rest]
+        n_parts = np.r_[n_parts, len(parts) + np.cumsum(np.fromiter(map(len, alone), np.int64))]
+        parts.extend(itertools.chain.from_iterable(alone))
         data = [p.encode() for p in parts]
-        ends = list(itertools.accumulate(map(len, data), initial=0))
         letters = mapped(b"".join(data))
-        found = self._processor.encode([letters[i:j] for i, j in itertools.pairwise(ends)], num_threads=1)
+        cuts = itertools.pairwise(itertools.accumulate(map(len, data), initial=0))
+        found = self._processor.encode([letters[i:j] for i, j in cuts], num_threads=1)
         if self._whole:
             found = [self._whole.get(d, i) for d, i in zip(data, found)]
         places = np.fromiter(itertools.chain.from_iterable(found), np.int64)
         flat = self.ids[places].astype(np.int32).tobytes()
-        bounds = itertools.accumulate((4 * len(i) for i in found), initial=0)
-        ids = {p: flat[i:j] for p, (i, j) in zip(parts, itertools.pairwise(bounds))}
-        self._known.update((s, b"".join(map(ids.__getitem__, pre))) for s, pre in zip(order, split))
+        n_ids = np.r_[0, np.cumsum(np.fromiter(map(len, found), np.int64))]
+        bounds = itertools.pairwise([0, *(4 * n_ids[n_parts]).tolist()])
+        return {s: flat[i:j] for s, (i, j) in zip(itertools.chain(plain, rest), bounds)}
 
     def encode_all(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """Ids of each text, pre-token by pre-token, without special tokens.
@@ -168,19 +183,24 @@ class ByteBPE:
         parts: list[bytes] = []
         for group in grouped(texts, self.group_length):
             split = [STRETCH.findall(part) for part, _ in group]
-            new = set().union(*split)
-            if len(known) + len(new) > self.cached:
-                known.clear()
-            new.difference_update(known)
+            found = [list(map(known.get, stretches)) for stretches in split]
+            new: set[str] = set()
+            for stretches, ids in zip(split, found):
+                new.update(itertools.compress(stretches, map(operator.is_, ids, itertools.repeat(None))))
+            learned = {}
             if new:
-                self._learn(new)
-            for stretches, (_, last) in zip(split, group):
-                parts.append(b"".join(map(known.__getitem__, stretches)))
+                with without_gc():
+                    learned = self._learn(new)
+                if len(known) + len(new) > self.cached:  # go on with those that this group met again
+                    kept = [(s, i) for each in zip(split, found) for s, i in zip(*each) if i is not None]
+                    known.clear()
+                    known.update(kept)
+                known.update((s, i) for s, i in learned.items() if len(s) <= self.cached_length)
+            for (_, last), stretches, ids in zip(group, split, found):
+                parts += [learned[s] if i is None else i for s, i in zip(stretches, ids)] if new else ids
                 if last:
                     yield np.frombuffer(b"".join(parts), np.int32)
                     parts = []
-            for long in [s for s in new if len(s) > self.cached_length]:
-                del known[long]
 
     def encode(self, text: str) -> list[int]:
         (ids,) = self.encode_all([text])
@@ -189,10 +209,25 @@ class ByteBPE:
     def decode(self, ids: np.ndarray | list[int]) -> bytes:
         """Bytes of ids, by the inverse mapping; an id outside of the vocabulary is an error."""
         ids = np.asarray(ids, np.int64)
-        at = np.searchsorted(self.ids, ids)
-        if len(ids) and (at.max() == len(self.ids) or (self.ids[at] != ids).any()):
+        at = ids if self._dense else np.searchsorted(self.ids, ids)
+        if len(ids) and (at.min() < 0 or at.max() >= len(self.ids) or (not self._dense and (self.ids[at] != ids).any())):
             raise KeyError("an id is not in the vocabulary")
-        return b"".join(self._bytes[at].tolist())
+        lengths = self._lengths[at]
+        ends = np.cumsum(lengths)
+        shift = np.repeat(self._starts[at] - ends + lengths, lengths)
+        return self._flat[shift + np.arange(len(shift), dtype=np.int32)].tobytes()
+
+
+@contextmanager
+def without_gc() -> Iterator[None]:
+    """No garbage collection while many lists without cycles are made."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
 
 
 _WORKERS: dict[str, ByteBPE] = {}
