@@ -9,6 +9,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from shortfall.plans import registry
 from tools.compare import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -20,11 +21,12 @@ SAMPLE = [
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test data here")
 
 
-@pytest.mark.parametrize("name", entry.queries() if os.environ.get("ALL_QUERIES") else SAMPLE)
+@pytest.mark.parametrize("name", registry.queries() if os.environ.get("ALL_QUERIES") else SAMPLE)
 def test_query_equals_sql(spark, name):
     problem, _ = compare(spark, connect(SF_DIR), name, SF_DIR)
     assert problem is None, problem
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(registry.oracle_sql()) == set(registry.queries())
+    assert set(registry.queries()) <= set(entry.queries())
