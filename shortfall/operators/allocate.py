@@ -160,6 +160,13 @@ def cascade_pairs(pool: DataFrame, supply: DataFrame, issues: DataFrame) -> Data
     )
 
 
+def cascade_of_supply(supply: DataFrame, cascaded: DataFrame) -> DataFrame:
+    """The cascade of every supplied pair, those with nothing to allocate as zeros."""
+    losses = [*CASCADE_LOSSES, "residual"]
+    joined = supply.select(*PAIR).join(cascaded.select(*PAIR, *losses), PAIR, "left")
+    return fill_zero(joined, losses)
+
+
 def open_issues(issues: DataFrame) -> DataFrame:
     """Rows of ``issues_by_fc`` with an issue above zero."""
     return issues.where(" or ".join(f"{issue} > 0" for _, issue in CAUSES))

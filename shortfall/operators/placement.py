@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shortfall.functions.dates import Period
 from shortfall.functions.nulls import fill_zero, strict_sum
+from shortfall.operators.centres import centre_sets, counts_of_sets, issues_at_sets, near_centres
 from shortfall.operators.prepare import NEAR_LANES
 from shortfall.operators.relational import salted_join
 
@@ -98,52 +99,13 @@ def supply_of_pairs(
 ) -> DataFrame:
     """Vendors and supplying centres of each product and destination, as numbers only.
 
-    The same numbers as counting ``supplied_fcs`` by pair, without its rows:
-    the centres of a brand are counted once per destination and set of brands,
-    those of a product once per pair, and centres in both are taken off again.
-    The set of brands of a pair is nearly always one.
+    The same numbers as counting ``supplied_fcs`` by pair, from bitmaps of the
+    centres (``centre_sets``) instead of its rows.
     """
-    near = _near_fcs(lanes)
-    pair = ["fsn", "dest_pincode"]
-    place = ["dest_pincode", "brands"]
-    each_brand = [F.col("each.brand").alias("brand"), F.col("each.vertical").alias("vertical")]
-    branded = pairs.groupBy(*pair).agg(
-        F.sort_array(F.collect_set(F.struct("brand", "vertical"))).alias("brands")
-    )
-    by_brand = (
-        branded.select(*place)
-        .distinct()
-        .withColumn("each", F.explode("brands"))
-        .select(*place, *each_brand)
-        .join(brand_vendors, ["brand", "vertical"])
-        .join(near, ["dest_pincode", "fc"], "left_semi")
-        .groupBy(*place, "fc")
-        .agg(F.sum("brand_vendor_count").alias("vendors"))
-        .groupBy(*place)
-        .agg(F.sum("vendors").alias("brand_vendors"), F.count("*").alias("brand_fcs"))
-    )
-    of_brand = brand_vendors.select("brand", "vertical", "fc", F.lit(1).alias("of_brand"))
-    by_product = (
-        branded.join(fsn_vendors, "fsn")
-        .join(near, ["dest_pincode", "fc"], "left_semi")
-        .withColumn("each", F.explode("brands"))
-        .select(*pair, "fc", "fsn_vendor_count", *each_brand)
-        .join(of_brand, ["brand", "vertical", "fc"], "left")
-        .groupBy(*pair, "fc")
-        .agg(F.sum("fsn_vendor_count").alias("vendors"), F.max("of_brand").alias("of_brand"))
-        .groupBy(*pair)
-        .agg(
-            F.sum("vendors").alias("product_vendors"),
-            (F.count("*") - F.count("of_brand")).alias("product_fcs"),
-        )
-    )
-    counts = ["product_vendors", "product_fcs", "brand_vendors", "brand_fcs"]
-    joined = branded.join(by_product, pair, "left").join(by_brand, place, "left")
-    return fill_zero(joined, counts).select(
-        *pair,
-        (F.col("product_vendors") + F.col("brand_vendors")).alias("vendor_count"),
-        (F.col("product_fcs") + F.col("brand_fcs")).alias("fc_count"),
-    )
+    sets = centre_sets(pairs, near_centres(lanes), fsn_vendors, brand_vendors)
+    every = pairs.select("fsn", "dest_pincode").distinct()
+    counted = every.join(counts_of_sets(sets), ["fsn", "dest_pincode"], "left")
+    return fill_zero(counted, ["vendor_count", "fc_count"])
 
 
 def supplied_issues(
@@ -153,22 +115,9 @@ def supplied_issues(
     brand_vendors: DataFrame,
     issues: DataFrame,
 ) -> DataFrame:
-    """The rows of ``issues`` (product, centre) at each destination the centre supplies.
-
-    Starts from the issues, so there are at most as many rows of a pair as its
-    product has centres with an issue.
-    """
-    of_product = fsn_vendors.select("fsn", "fc", F.lit(1).alias("of_product"))
-    of_brand = brand_vendors.select("brand", "vertical", "fc", F.lit(1).alias("of_brand"))
-    return (
-        pairs.join(issues, "fsn")
-        .join(_near_fcs(lanes), ["dest_pincode", "fc"], "left_semi")
-        .join(of_product, ["fsn", "fc"], "left")
-        .join(of_brand, ["brand", "vertical", "fc"], "left")
-        .where("of_product = 1 or of_brand = 1")
-        .dropDuplicates(["fsn", "dest_pincode", "fc"])
-        .select("dest_pincode", *issues.columns)
-    )
+    """The rows of ``issues`` (product, centre) at each destination the centre supplies."""
+    near = near_centres(lanes)
+    return issues_at_sets(centre_sets(pairs, near, fsn_vendors, brand_vendors), near, issues)
 
 
 def vendor_availability(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shortfall.functions.dates import reporting_period
-from shortfall.operators import allocate, issues, placement, prepare, quality, waterfall
+from shortfall.operators import allocate, centres, issues, placement, prepare, quality, waterfall
 from shortfall.operators.allocate import CASCADE_LOSSES
 from shortfall.operators.placement import PLACEMENT_LOSSES
 from shortfall.plans.driver_tables import PERIOD
@@ -70,6 +70,18 @@ query(
     "supplied_fcs",
     "SELECT fsn, dest_pincode, brand, vertical, fc, vendor_count FROM d_candidates WHERE vendor_count > 0",
 )(lambda t: t.weekly.supplied)
+query(
+    "centre_sets",
+    """SELECT fsn, dest_pincode, CAST(SUM(vendor_count) AS BIGINT) AS vendor_count, COUNT(DISTINCT fc) AS fc_count,
+       string_agg(DISTINCT fc, ',' ORDER BY fc) AS fcs FROM d_candidates WHERE vendor_count > 0 GROUP BY fsn, dest_pincode""",
+)(
+    lambda t: centres.counts_of_sets(t.weekly_staged.centre_sets).join(
+        centres.rows_of_sets(t.weekly_staged.centre_sets, t.weekly_staged.near_centres)
+        .groupBy("fsn", "dest_pincode")
+        .agg(F.array_join(F.sort_array(F.collect_list("fc")), ",").alias("fcs")),
+        ["fsn", "dest_pincode"],
+    )
+)
 query("vendor_availability", "SELECT * FROM d_vendor_avl")(lambda t: t.weekly.vendor_availability)
 query("low_sales_depth", "SELECT * FROM d_low_sales")(lambda t: t.weekly.low_sales)
 query(
@@ -194,7 +206,7 @@ query(
     )
 )
 query("cascade_by_fsn_dp", f"SELECT {PAIR}, {CASCADE} FROM d_by_dest")(
-    lambda t: allocate.cascade_by_destination(_all_cascaded(t))
+    lambda t: allocate.cascade_of_supply(t.weekly_staged.supply, t.weekly_staged.cascaded)
 )
 query(
     "loss_union_sum",

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 from shortfall.functions.dates import Period
 from shortfall.functions.nulls import missing_keys, present_keys
-from shortfall.operators import allocate, issues, placement, prepare, quality, waterfall
+from shortfall.operators import allocate, centres, issues, placement, prepare, quality, waterfall
 
 
 #: Keys by which a missing value matches a missing value.
@@ -69,8 +69,8 @@ class WeeklyRun:
 
     ``stage`` may be a function ``(frame, name) -> frame`` that writes a frame
     and reads it back (``shortfall.sources.stage.stage``). It is applied to the
-    frames several branches need: the sales cube, the supply of each pair, the
-    placement table, the lead times, the plan at lead time, the issues and the
+    frames several branches need: the sales cube, the supplying centres of each
+    pair, the placement table, the lead times, the plan at lead time, the issues and the
     pool. Asking for a late frame then starts the jobs that write these.
 
     Missing destinations, brands, verticals and categories are keys like any
@@ -155,15 +155,25 @@ class WeeklyRun:
         )
 
     @cached_property
-    def supply(self) -> DataFrame:
-        """Vendors and centres of each pair, in numbers."""
+    def near_centres(self) -> DataFrame:
+        """The near centres of each destination, numbered within it."""
+        return self._stage(centres.near_centres(self.lanes), "near_centres")
+
+    @cached_property
+    def centre_sets(self) -> DataFrame:
+        """The supplying centres of each pair, as bitmaps."""
         return self._stage(
-            placement.supply_of_pairs(
-                self.pairs, self.lanes, self.fsn_vendors, self.brand_vendors
+            centres.centre_sets(
+                self.pairs, self.near_centres, self.fsn_vendors, self.brand_vendors
             ),
-            "supply",
+            "centre_sets",
         )
 
+    @cached_property
+    def supply(self) -> DataFrame:
+        """Vendors and centres of each pair that has any, in numbers."""
+        return centres.counts_of_sets(self.centre_sets)
+
     @cached_property
     def vendor_availability(self) -> DataFrame:
         return placement.vendor_availability(self.pairs, self.serviceability, self.supply)
@@ -267,7 +277,9 @@ class WeeklyRun:
 
     @cached_property
     def ratio(self) -> DataFrame:
-        return allocate.fc_split_ratio(self.supplied, self.options.strict_fanout)
+        if self.options.strict_fanout:
+            return allocate.fc_split_ratio(self.supplied, True)
+        return centres.split_ratio_of_sets(self.centre_sets, self.near_centres)
 
     @cached_property
     def allocated(self) -> DataFrame:
@@ -294,11 +306,10 @@ class WeeklyRun:
             return allocate.cascade_losses(
                 self.allocated, self.forecast_issue, self.override_issues, self.adherence_issue
             )
-        issues_of_pairs = placement.supplied_issues(
-            self.pairs.join(self.pool.where("fsn_dp_loss > 0"), allocate.PAIR, "left_semi"),
-            self.lanes,
-            self.fsn_vendors,
-            self.brand_vendors,
+        open_pairs = self.pool.where("fsn_dp_loss > 0")
+        issues_of_pairs = centres.issues_at_sets(
+            self.centre_sets.join(open_pairs, allocate.PAIR, "left_semi"),
+            self.near_centres,
             allocate.open_issues(self.issues),
         )
         return allocate.cascade_pairs(self.pool, self.supply, issues_of_pairs)
