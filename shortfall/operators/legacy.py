@@ -23,6 +23,7 @@ from shortfall.operators.relational import (
     union_ragged,
     wide_to_long,
 )
+from shortfall.operators.skew import HeavyKeys, heavy_join, heavy_keys
 
 PAIR = ["fsn", "dest_pincode"]
 
@@ -46,13 +47,20 @@ BU_MEASURES = [
 
 
 def blocked_losses(
-    sales_fsn_dp: DataFrame, availability: DataFrame, loss_class: DataFrame
+    sales_fsn_dp: DataFrame,
+    availability: DataFrame,
+    loss_class: DataFrame,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
-    """National units of the pairs without an available or an open centre."""
+    """National units of the pairs without an available or an open centre.
+
+    Rows of heavy destinations (``heavy``, or counted in the sales) are spread by product.
+    """
     served = availability.select(
         F.col("Destination_Pincode").alias("dest_pincode"), "fc_available_flag"
     )
-    joined = sales_fsn_dp.join(served, "dest_pincode", "left").join(loss_class, PAIR, "left")
+    placed = heavy_join(sales_fsn_dp, served, ["dest_pincode"], ["fsn"], "left", heavy)
+    joined = placed.join(loss_class, PAIR, "left")
     unserved = F.col("fc_available_flag") == 0
     nat = F.col("nat_sales")
 
@@ -354,14 +362,21 @@ def bu_share_pct(by_bu: DataFrame) -> DataFrame:
 
 
 def enrich_output(
-    waterfall: DataFrame, titles: DataFrame, zones: DataFrame, lane_fcs: DataFrame
+    waterfall: DataFrame,
+    titles: DataFrame,
+    zones: DataFrame,
+    lane_fcs: DataFrame,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
-    """Add product title, destination zone and near centres."""
-    return (
-        waterfall.join(titles.select("fsn", "title").distinct(), "fsn", "left")
-        .join(zones.select("dest_pincode", "Zone").distinct(), "dest_pincode", "left")
-        .join(lane_fcs.select("dest_pincode", "LZ-FC").distinct(), "dest_pincode", "left")
-    )
+    """Add product title, destination zone and near centres.
+
+    Rows of heavy destinations (``heavy``, or counted in the waterfall) are spread by product.
+    """
+    place = ["dest_pincode"]
+    heavy = heavy or heavy_keys(waterfall, place)
+    titled = waterfall.join(titles.select("fsn", "title").distinct(), "fsn", "left")
+    zoned = heavy_join(titled, zones.select(*place, "Zone").distinct(), place, ["fsn"], "left", heavy)
+    return heavy_join(zoned, lane_fcs.select(*place, "LZ-FC").distinct(), place, ["fsn"], "left", heavy)
 
 
 def pe_excess_inventory(sales_day: DataFrame, inventory: DataFrame) -> DataFrame:

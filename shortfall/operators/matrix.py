@@ -6,6 +6,8 @@ centres is bounded by the width of the inputs.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,9 +16,9 @@ from shortfall.operators.prepare import NEAR_LANES
 from shortfall.operators.relational import (
     columns_like,
     count_where_in,
-    salted_join,
     wide_to_long,
 )
+from shortfall.operators.skew import HeavyKeys, heavy_join, heavy_keys_of
 
 DEST = "Destination_Pincode"
 PAIR = ["fsn", "dest_pincode"]
@@ -81,6 +83,12 @@ def u2s_unpivot(u2s_wide: DataFrame) -> DataFrame:
     )
 
 
+def heavy_of_pairs(pairs: DataFrame) -> list[HeavyKeys]:
+    """Heavy destinations and brands of the sold pairs, as ``placement_matrix`` joins them; one pass."""
+    keys = [["dest_pincode"], ["brand", "vertical"], ["brand_upper", "vertical"]]
+    return heavy_keys_of(pairs.withColumn("brand_upper", F.upper("brand")), keys)
+
+
 def placement_matrix(
     pairs: DataFrame,
     lanes: DataFrame,
@@ -88,13 +96,17 @@ def placement_matrix(
     u2s: DataFrame,
     vendor: DataFrame,
     strict_fanout: bool = False,
+    heavy: Sequence[HeavyKeys] | None = None,
 ) -> DataFrame:
     """Flags of every near centre of every sold pair; a centre nobody lists is open.
 
     The flag tables are finer than the join keys. A centre counts as open if any
     of its rows says so, hence they are reduced to the best flag per key first;
-    ``strict_fanout`` keeps one row per combination.
+    ``strict_fanout`` keeps one row per combination. Rows of heavy destinations
+    and brands (``heavy_of_pairs``) are spread, and only the flags of these
+    brands are repeated.
     """
+    at_place, of_brand, of_upper = heavy or heavy_of_pairs(pairs)
     tax_flags = tax.select(F.col("FSN").alias("fsn"), "FC", to_number("tax_flg").alias("tax_flg"))
     u2s_flags = u2s.select("brand", "vertical", "FC", to_number("u2s_flag").alias("u2s_flag"))
     vendor_flags = vendor.select(
@@ -111,15 +123,16 @@ def placement_matrix(
             F.max("vendor_flag").alias("vendor_flag")
         )
     per_dest = lanes.withColumnRenamed(DEST, "dest_pincode")
-    at_fc = salted_join(pairs, per_dest, on=["dest_pincode"], spread_by=["fsn"])
+    at_fc = heavy_join(pairs, per_dest, ["dest_pincode"], ["fsn"], heavy=at_place)
     flagged = at_fc.join(tax_flags, ["fsn", "FC"], "left")
-    flagged = salted_join(flagged, u2s_flags, ["brand", "vertical", "FC"], PAIR, how="left")
-    flagged = salted_join(
+    flagged = heavy_join(flagged, u2s_flags, ["brand", "vertical", "FC"], PAIR, "left", of_brand)
+    flagged = heavy_join(
         flagged.withColumn("brand_upper", F.upper("brand")),
         vendor_flags,
         ["brand_upper", "vertical", "FC"],
         PAIR,
-        how="left",
+        "left",
+        of_upper,
     )
     flags = ["tax_flg", "u2s_flag", "vendor_flag"]
     tax_open, u2s_open, vendor_open = (F.col(c) != 0 for c in flags)

@@ -11,6 +11,7 @@ from shortfall.operators.allocate import CASCADE_LOSSES, PAIR
 from shortfall.operators.placement import PLACEMENT_LOSSES
 from shortfall.operators.prepare import HIERARCHY
 from shortfall.operators.relational import totals
+from shortfall.operators.skew import HeavyKeys, heavy_join, heavy_keys
 
 LOSSES = [*PLACEMENT_LOSSES, "fe_loss", *CASCADE_LOSSES, "promotions_loss", "residual"]
 MEASURES = ["sales", "ru_sales", "nat_sales", "unmapped_sales", *LOSSES]
@@ -58,16 +59,25 @@ def waterfall_totals(detail: DataFrame, period: Period) -> DataFrame:
     return totals(detail, MEASURES).withColumn("ru_computed_week", F.lit(period.week))
 
 
-def attach_keys(detail: DataFrame, sales: DataFrame, preferred_warehouse: DataFrame) -> DataFrame:
-    """Add the warehouse keys of product and destination and the preferred centres."""
+def attach_keys(
+    detail: DataFrame,
+    sales: DataFrame,
+    preferred_warehouse: DataFrame,
+    heavy: HeavyKeys | None = None,
+) -> DataFrame:
+    """Add the warehouse keys of product and destination and the preferred centres.
+
+    A destination may hold most of the rows: heavy ones are spread by product.
+    They are counted in ``detail`` unless ``heavy`` names those of ``sales``.
+    """
     products = sales.select("fsn", "product_id_key").distinct()
     destinations = sales.select("dest_pincode", "destination_pincode_key").distinct()
     preferred = preferred_warehouse.select(
         F.col("pincode").alias("dest_pincode"),
         F.col("preferred_fc_non_large").alias("preferred_fc"),
     )
-    return (
-        detail.join(products, "fsn", "left")
-        .join(destinations, "dest_pincode", "left")
-        .join(preferred, "dest_pincode", "left")
-    )
+    place, spread = ["dest_pincode"], [c for c in ["fsn", *HIERARCHY] if c in detail.columns]
+    heavy = heavy or heavy_keys(detail, place)
+    keyed = detail.join(products, "fsn", "left")
+    keyed = heavy_join(keyed, destinations, place, spread, "left", heavy)
+    return heavy_join(keyed, preferred, place, spread, "left", heavy)

@@ -10,7 +10,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from shortfall.functions.dates import Period
-from shortfall.operators import legacy, matrix, prepare
+from shortfall.operators import legacy, matrix, prepare, skew
 
 PRODUCT_COLUMNS = ["fsn", "bu", "super_category", "category", "sub_category", "vertical", "brand"]
 
@@ -64,6 +64,11 @@ class EarlierRun:
             "fsn", "dest_pincode", "brand", "bu", "category", "vertical"
         ).distinct()
 
+    @cached_property
+    def heavy(self) -> list[skew.HeavyKeys]:
+        """Destinations and brands that hold much of the pairs; counted when first asked for."""
+        return matrix.heavy_of_pairs(self.pairs)
+
     @cached_property
     def availability(self) -> DataFrame:
         return matrix.fc_available_flag(self.inputs.lane_wide)
@@ -76,6 +81,7 @@ class EarlierRun:
             matrix.tax_unpivot(self.inputs.tax_wide, self.inputs.sales, self.tax_enabled),
             matrix.u2s_unpivot(self.inputs.u2s_wide),
             matrix.vendor_unpivot(self.inputs.vendor_wide),
+            heavy=self.heavy,
         )
         return self._stage(flags, "matrix")
 
@@ -89,7 +95,9 @@ class EarlierRun:
 
     @cached_property
     def blocked(self) -> DataFrame:
-        blocked = legacy.blocked_losses(self.sales_fsn_dp, self.availability, self.loss_class)
+        blocked = legacy.blocked_losses(
+            self.sales_fsn_dp, self.availability, self.loss_class, self.heavy[0]
+        )
         return self._stage(blocked, "blocked")
 
     @cached_property

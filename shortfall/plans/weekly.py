@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 from shortfall.functions.dates import Period
 from shortfall.functions.nulls import missing_keys, present_keys
-from shortfall.operators import allocate, centres, issues, placement, prepare, quality, waterfall
+from shortfall.operators import allocate, centres, issues, placement, prepare, quality, skew, waterfall
 
 
 #: Keys by which a missing value matches a missing value.
@@ -356,8 +356,9 @@ class WeeklyRun:
 
     @cached_property
     def output(self) -> DataFrame:
+        heavy = skew.heavy_keys(self.cube, ["dest_pincode"])  # of the written cube, not of the detail
         keyed = waterfall.attach_keys(
-            self._keyed_detail, self.cube, self.inputs.preferred_warehouse
+            self._keyed_detail, self.cube, self.inputs.preferred_warehouse, heavy
         )
         return missing_keys(keyed, MATCHED_KEYS)
 
