@@ -163,7 +163,8 @@ def cascade_pairs(pool: DataFrame, supply: DataFrame, issues: DataFrame) -> Data
 def cascade_of_supply(supply: DataFrame, cascaded: DataFrame) -> DataFrame:
     """The cascade of every supplied pair, those with nothing to allocate as zeros."""
     losses = [*CASCADE_LOSSES, "residual"]
-    joined = supply.select(*PAIR).join(cascaded.select(*PAIR, *losses), PAIR, "left")
+    supplied = supply.where("fc_count > 0").select(*PAIR)
+    joined = supplied.join(cascaded.select(*PAIR, *losses), PAIR, "left")
     return fill_zero(joined, losses)
 
 

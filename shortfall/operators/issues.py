@@ -30,9 +30,13 @@ def explain_week(explain: DataFrame, period: Period) -> DataFrame:
     The days of the week are known, so the test is a range a scan can skip by.
     """
     first, last = (int(d.strftime("%Y%m%d")) for d in period.week_days)
-    offers = explain.where(F.col("day").between(first, last))
+    return _with_destination(explain.where(F.col("day").between(first, last)))
+
+
+def _with_destination(offers: DataFrame) -> DataFrame:
+    """Offers as extracted name the destination in full."""
     if "destination_pincode" in offers.columns:
-        offers = offers.withColumnRenamed("destination_pincode", "dest_pincode")
+        return offers.withColumnRenamed("destination_pincode", "dest_pincode")
     return offers
 
 
@@ -61,7 +65,9 @@ def units_offered_nearby(explain: DataFrame, near_filter=None) -> DataFrame:
 
 def fulfilment_engine_issue(explain: DataFrame, period: Period | None = None) -> DataFrame:
     """``units_offered_nearby`` of the reporting week, or of all rows without a period."""
-    return units_offered_nearby(explain if period is None else explain_week(explain, period))
+    if period is None:
+        return units_offered_nearby(_with_destination(explain))
+    return units_offered_nearby(explain_week(explain, period))
 
 
 def reco_at_lead_time(

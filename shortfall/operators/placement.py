@@ -102,7 +102,13 @@ def supply_of_pairs(
     The same numbers as counting ``supplied_fcs`` by pair, from bitmaps of the
     centres (``centre_sets``) instead of its rows.
     """
-    sets = centre_sets(pairs, near_centres(lanes), fsn_vendors, brand_vendors)
+    return supply_of_sets(
+        pairs, centre_sets(pairs, near_centres(lanes), fsn_vendors, brand_vendors)
+    )
+
+
+def supply_of_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``supply_of_pairs`` from the sets of ``centre_sets``; pairs without a centre have zeros."""
     every = pairs.select("fsn", "dest_pincode").distinct()
     counted = every.join(counts_of_sets(sets), ["fsn", "dest_pincode"], "left")
     return fill_zero(counted, ["vendor_count", "fc_count"])

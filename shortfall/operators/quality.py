@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shortfall.functions.nulls import sum_or_zero
@@ -11,46 +13,73 @@ from shortfall.operators.relational import totals, union_ragged
 from shortfall.operators.waterfall import LOSSES
 
 
-def scalar_summary(sales: DataFrame) -> DataFrame:
-    """Totals and counts looked at before a run is trusted."""
-    return sales.agg(
-        F.count("*").alias("row_count"),
+def summary_checks() -> list[Column]:
+    """The figures of ``scalar_summary`` that an observation can carry: all but the distinct count."""
+    return [
+        F.count(F.lit(1)).alias("row_count"),
         F.sum("sales").alias("sales"),
         F.sum("unmapped_sales").alias("unmapped_sales"),
         F.min("sales").alias("min_sales"),
         F.max("sales").alias("max_sales"),
-        F.count_distinct("fc").alias("fc_count"),
-    )
+    ]
+
+
+def scalar_summary(sales: DataFrame) -> DataFrame:
+    """Totals and counts looked at before a run is trusted."""
+    return sales.agg(*summary_checks(), F.count_distinct("fc").alias("fc_count"))
 
 
 def _column_sum(cols):
     return sum((F.coalesce(F.sum(c), F.lit(0.0)) for c in cols), F.lit(0.0))
 
 
-def reconcile(
-    placement: DataFrame, pool: DataFrame, cascaded: DataFrame, detail: DataFrame
-) -> DataFrame:
-    """One row of totals that must agree, with the gaps between them."""
+def reconcile_checks() -> dict[str, list[Column]]:
+    """The totals ``reconcile`` compares, by the table they come from.
+
+    Observed on the writes of these tables they need no second pass
+    (``reconcile_observed``).
+    """
     is_blocked = F.coalesce(F.col("placement_loss") > 0, F.lit(False))
     nat = F.col("nat_sales")
-    parts = union_ragged(
-        placement.agg(
+    return {
+        "placement": [
             sum_or_zero(nat).alias("national"),
             sum_or_zero(F.when(is_blocked, nat)).alias("blocked"),
             sum_or_zero(F.when(~is_blocked, nat)).alias("unblocked"),
             sum_or_zero("placement_loss").alias("placement_loss"),
-        ),
-        pool.agg(
-            sum_or_zero("fe_loss").alias("fe_loss"), sum_or_zero("fsn_dp_loss").alias("pool")
-        ),
-        cascaded.agg(
+        ],
+        "pool": [
+            sum_or_zero("fe_loss").alias("fe_loss"),
+            sum_or_zero("fsn_dp_loss").alias("pool"),
+        ],
+        "cascaded": [
             sum_or_zero("fsn_dp_fc_loss").alias("allocated"),
             _column_sum([*CASCADE_LOSSES, "residual"]).alias("cascaded"),
-        ),
-        detail.agg(_column_sum(LOSSES).alias("explained")),
-    )
+        ],
+        "detail": [_column_sum(LOSSES).alias("explained")],
+    }
+
+
+def reconcile(
+    placement: DataFrame, pool: DataFrame, cascaded: DataFrame, detail: DataFrame
+) -> DataFrame:
+    """One row of totals that must agree, with the gaps between them."""
+    tables = {"placement": placement, "pool": pool, "cascaded": cascaded, "detail": detail}
+    parts = union_ragged(*[tables[name].agg(*checks) for name, checks in reconcile_checks().items()])
     # each total is present in exactly one of the four rows
-    wide = totals(parts, parts.columns)
+    return _with_gaps(totals(parts, parts.columns))
+
+
+def reconcile_observed(spark: SparkSession, metrics: Mapping[str, Mapping[str, float]]) -> DataFrame:
+    """``reconcile`` from the totals observed while the four tables were written."""
+    missing = [name for name in reconcile_checks() if not metrics.get(name)]
+    if missing:
+        raise ValueError(f"no totals were observed for {', '.join(missing)}")
+    found = {k: float(v) for name in reconcile_checks() for k, v in metrics[name].items()}
+    return _with_gaps(spark.createDataFrame([tuple(found.values())], [*found]))
+
+
+def _with_gaps(wide: DataFrame) -> DataFrame:
     return wide.select(
         "national", "blocked", "unblocked", "placement_loss", "fe_loss", "pool",
         "allocated", "cascaded", "explained",

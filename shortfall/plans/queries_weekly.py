@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from shortfall.functions.dates import reporting_period
@@ -9,9 +11,10 @@ from shortfall.operators import allocate, centres, issues, placement, prepare, q
 from shortfall.operators.allocate import CASCADE_LOSSES
 from shortfall.operators.placement import PLACEMENT_LOSSES
 from shortfall.plans.driver_tables import PERIOD
+from shortfall.plans.job import DETAIL, export_weekly, run_weekly
 from shortfall.plans.registry import query, rounded
-from shortfall.plans.weekly import WeeklyOptions, WeeklyRun
-from shortfall.sources.stage import stage
+from shortfall.plans.weekly import WeeklyInputs, WeeklyOptions, WeeklyRun
+from shortfall.sources.stage import new_path, stage
 
 CASCADE = rounded([*CASCADE_LOSSES, "residual"])
 LOSSES = rounded(waterfall.LOSSES)
@@ -264,6 +267,36 @@ query(
         LEFT JOIN a_preferred p ON p.dest_pincode = d.dest_pincode""",
 )(lambda t: t.weekly_staged.output)
 
+
+
+def _key(day):
+    return F.date_format(day, "yyyyMMdd").cast("int")
+
+
+def job_inputs(t) -> WeeklyInputs:
+    """The adapter's tables as the files of the job have them: whole sales, dates as numbers."""
+    place = {"dest_pincode": "destination_pincode"}
+    return replace(
+        t.inputs,
+        sales_raw=t.sales_raw.withColumnsRenamed(place),
+        explain=t.explain.withColumnsRenamed(place).withColumn("day", _key("day")),
+        vendor_adherence=t.purchase_orders.withColumn("poi_created_day", _key("poi_created_day")),
+        history=None,
+    )
+
+
+@query("weekly_job", f"SELECT {DETAIL_KEYS}, {DETAIL_MEASURES} FROM d_detail")
+def _weekly_job(t):
+    """The tables written as files, the job over them, its detail read back."""
+    folder = new_path(t.spark, "weekly_job")
+    export_weekly(job_inputs(t), f"{folder}/in")
+    options = WeeklyOptions(sales_by="day", explain_by_week=False, reco_keys=("fsn", "fc"))
+    run_weekly(t.spark, f"{folder}/in", f"{folder}/out", PERIOD, options, f"{folder}/work")
+    written = t.spark.read.parquet(f"{folder}/out/{DETAIL}").drop("ru_week")
+    kinds = {"fsn": "bigint", "dest_pincode": dict(t.sales_raw.dtypes)["dest_pincode"]}
+    return written.select(*[F.col(c).cast(kinds[c]) if c in kinds else F.col(c) for c in written.columns])
+
+
 SHARE_COLUMNS = [*PLACEMENT_LOSSES, "placement_loss"]
 query(
     "loss_share_pct",

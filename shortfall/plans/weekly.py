@@ -70,8 +70,8 @@ class WeeklyRun:
     ``stage`` may be a function ``(frame, name) -> frame`` that writes a frame
     and reads it back (``shortfall.sources.stage.stage``). It is applied to the
     frames several branches need: the sales cube, the supplying centres of each
-    pair, the placement table, the lead times, the plan at lead time, the issues and the
-    pool. Asking for a late frame then starts the jobs that write these.
+    pair, the placement table, the lead times, the plan at lead time, the issues, the
+    pool and the cascade. Asking for a late frame then starts the jobs that write these.
 
     Missing destinations, brands, verticals and categories are keys like any
     other: they match each other. Within the run a stand-in takes their place;
@@ -171,8 +171,8 @@ class WeeklyRun:
 
     @cached_property
     def supply(self) -> DataFrame:
-        """Vendors and centres of each pair that has any, in numbers."""
-        return centres.counts_of_sets(self.centre_sets)
+        """Vendors and centres of each pair, in numbers."""
+        return placement.supply_of_sets(self.pairs, self.centre_sets)
 
     @cached_property
     def vendor_availability(self) -> DataFrame:
@@ -312,7 +312,8 @@ class WeeklyRun:
             self.near_centres,
             allocate.open_issues(self.issues),
         )
-        return allocate.cascade_pairs(self.pool, self.supply, issues_of_pairs)
+        cascaded = allocate.cascade_pairs(self.pool, self.supply, issues_of_pairs)
+        return self._stage(cascaded, "cascaded")
 
     @cached_property
     def issues(self) -> DataFrame:
@@ -346,6 +347,10 @@ class WeeklyRun:
     def _keyed_detail(self) -> DataFrame:
         return waterfall.waterfall_detail(self.sales_hierarchy, self.with_promotions, self.period)
 
+    def stage_detail(self) -> None:
+        """Write the detail once where several of detail, totals and output are wanted."""
+        self.__dict__["_keyed_detail"] = self._stage(self._keyed_detail, "detail")
+
     @cached_property
     def detail(self) -> DataFrame:
         return missing_keys(self._keyed_detail, MATCHED_KEYS)
