@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -93,15 +94,26 @@ class Head:
     keys: np.ndarray
     index: np.ndarray
 
+    def __getstate__(self) -> dict:
+        return {"keys": self.keys}  # the index is made again where it is needed
+
+    def __setstate__(self, state: dict) -> None:
+        self.keys = state["keys"]
+        self.index = self.indexed(self.keys)
+
+    @classmethod
+    def indexed(cls, keys: np.ndarray) -> np.ndarray:
+        index = np.full(1 << SLOT_BITS, -1, np.int32)
+        index[cls.slots(keys)] = np.arange(len(keys), dtype=np.int32)
+        return index
+
     @classmethod
     def of(cls, ranked: np.ndarray) -> Head:
         """From distinct keys, most frequent first."""
         slots = cls.slots(ranked)
         _, first = np.unique(slots, return_index=True)
         keys = ranked[np.sort(first)]
-        index = np.full(1 << SLOT_BITS, -1, np.int32)
-        index[cls.slots(keys)] = np.arange(len(keys), dtype=np.int32)
-        return cls(keys, index)
+        return cls(keys, cls.indexed(keys))
 
     @staticmethod
     def slots(keys: np.ndarray) -> np.ndarray:
@@ -128,12 +140,40 @@ def batch_of(kind: int, key: np.ndarray, text: np.ndarray | None, n: np.ndarray)
     )
 
 
-def frequent_words(texts: DataFrame, most: int) -> Head:
+def least_cut(rows: DataFrame, value: str, room: int, high: int, parts: int = 4096) -> tuple[int, int]:
+    """The least t with at most ``room`` rows of ``value`` >= t, and the number of these rows.
+
+    Values are whole numbers from 0 up to ``high``. Each pass counts the rows in
+    ``parts`` equal ranges and goes on in the one where the room runs out, so
+    the driver receives that many numbers, however many rows there are.
+    """
+    low, high, above = 0, high + 1, 0
+    while True:
+        width = -(-(high - low) // parts)
+        at = F.floor((F.col(value) - low) / width).alias("at")
+        inside = rows.filter((F.col(value) >= low) & (F.col(value) < high))
+        counts = {r["at"]: r["count"] for r in inside.groupBy(at).count().collect()}
+        for part in sorted(counts, reverse=True):
+            if above + counts[part] > room:
+                break
+            above += counts[part]
+        else:
+            return low, above
+        low, high = low + part * width, min(high, low + (part + 1) * width)
+        if width == 1:
+            return high, above
+
+
+def frequent_words(texts: DataFrame, most: int, store: Store | None = None) -> Head:
     """The head: the most frequent words by their exact counts in all training texts.
 
     The model's words are the first of it, so its order must not depend on how
-    rows fall into batches: every word of a batch goes into the sum.
+    rows fall into batches: every word of a batch goes into the sum. The driver
+    receives the words chosen, ``most`` at most, and a few thousand counts: the
+    least count that fits is found first, then which of the words that have
+    one less still do, those of least key first.
     """
+    store = store or Store(texts.sparkSession, "lm")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,9 +181,23 @@ def frequent_words(texts: DataFrame, most: int) -> Head:
             keys, counts = np.unique(np.concatenate([*parts, np.empty(0, np.uint64)]), return_counts=True)
             yield batch_of(HEAD, keys, None, counts)
 
-    counted = texts.mapInArrow(run, ROWS).groupBy("key").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "key").limit(most).select("key").toPandas()["key"]
-    return Head.of(top.to_numpy(np.int64).view(np.uint64))
+    counted = store.put(texts.mapInArrow(run, ROWS).groupBy("key").agg(F.sum("n").alias("n")))
+    types, highest = counted.agg(F.count(F.lit(1)), F.max("n")).first()
+    chosen = counted
+    if types > most:
+        least, taken = least_cut(counted, "n", most, highest)
+        chosen = counted.filter(F.col("n") >= least)
+        tied = counted.filter(F.col("n") == least - 1)
+        halves = (1 << 31) - 1 - F.shiftright("key", 32), (1 << 32) - 1 - F.col("key").bitwiseAND(F.lit((1 << 32) - 1))
+        for half in halves:  # least keys first: by the upper bits, then the lower
+            tied = tied.withColumn("turn", half)
+            turn, more = least_cut(tied, "turn", most - taken, (1 << 32) - 1)
+            taken += more
+            chosen = chosen.unionByName(tied.filter(F.col("turn") >= turn).drop("turn"))
+            tied = tied.filter(F.col("turn") == turn - 1)
+    top = chosen.select("key", "n").toArrow()
+    keys, n = top["key"].to_numpy(), top["n"].to_numpy()
+    return Head.of(keys[np.lexsort((keys, -n))].view(np.uint64))
 
 
 @dataclass
@@ -358,11 +412,11 @@ def trained(
 
         means = (
             windows.mapInArrow(run, "i long, total double, weight double").groupBy("i")
-            .agg((F.sum("total") / F.sum("weight")).alias("mean")).toPandas()
+            .agg((F.sum("total") / F.sum("weight")).alias("mean")).toArrow()
         )
         if not len(means):
             break
-        model = model.filled(means.sort_values("i")["mean"].to_numpy())
+        model = model.filled(means.sort_by("i")["mean"].to_numpy())
     return model
 
 
@@ -395,17 +449,17 @@ def language_model(
         (crc_mod(F.col("doc_id"), 7) != 2).alias("training"),
     )
     slim = texts.select("key", "text", "training")
-    head = frequent_words(slim, most_frequent)
+    head = frequent_words(slim, most_frequent, store)
     symbols = Symbols(head, min(model_words, len(head.keys)))
     rows = store.put(count(slim, symbols))
 
     # counts of the head and of the classes' other words: bounded tables
-    known = rows.filter(F.col("kind").isin(HEAD, CLASS)).groupBy("kind", "key").agg(F.sum("n").alias("n")).toPandas()
+    known = rows.filter(F.col("kind").isin(HEAD, CLASS)).groupBy("kind", "key").agg(F.sum("n").alias("n")).toArrow()
     head_counts = np.zeros(len(head.keys) + 1)
     class_tokens = np.zeros(CLASSES)
     for kind, into in ((HEAD, head_counts), (CLASS, class_tokens)):
-        part = known[known["kind"] == kind]
-        into[part["key"].to_numpy(np.int64)] = part["n"].to_numpy(float)
+        part = known.filter(pc.equal(known["kind"], kind))
+        into[part["key"].to_numpy()] = part["n"].to_numpy()
 
     # every other word: its training count meets its texts
     word = Window.partitionBy("key")
