@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shortfall.llm.base import Store, crc_mod
+from shortfall.llm.base import Store, arrow_rows, crc_mod
 from shortfall.llm.words import IS_SPACE, TABLE
 
 CLASSES = 64
@@ -32,6 +32,9 @@ SLOT_BITS = 22
 #: Kinds of the rows that the counting pass gives.
 HEAD, MARK, TAIL, WINDOW, CLASS = range(5)
 ROWS = "kind int, key long, text long, n int"
+#: The same with a column for windows in blocks: their keys, then their numbers, as bytes.
+BLOCK_ROWS = ROWS + ", block binary"
+BLOCK = 8192
 CHUNK = 1 << 20
 #: Windows of a batch that are added up at once.
 HELD = 1 << 22
@@ -239,22 +242,44 @@ class Symbols:
         return symbol, one, two, owner
 
 
-def window_rows(packed: list[np.ndarray], seed: int) -> pa.RecordBatch:
-    """Equal windows as one row with their number, in random order."""
+def window_rows(packed: list[np.ndarray], seed: int, blocks: bool) -> Iterator[pa.RecordBatch]:
+    """Equal windows as one row with their number, or as blocks of many, in random order."""
     keys, times = np.unique(np.concatenate(packed), return_counts=True)
     mixed = np.random.default_rng(seed & 0xFFFFFFFF).permutation(len(keys))
-    return batch_of(WINDOW, keys[mixed], None, times[mixed])
+    keys, times = keys[mixed], times[mixed].astype(np.int32)
+    if not blocks:
+        yield batch_of(WINDOW, keys, None, times)
+        return
+    for start in range(0, len(keys), 16 * BLOCK):  # few blocks at once: they are large rows
+        lows = range(start, min(start + 16 * BLOCK, len(keys)), BLOCK)
+        sizes = np.array([len(keys[low : low + BLOCK]) for low in lows])
+        bodies = [keys[low : low + BLOCK].tobytes() + times[low : low + BLOCK].tobytes() for low in lows]
+        rows = batch_of(WINDOW, np.zeros(len(sizes), np.int64), None, sizes)
+        yield rows.append_column("block", pa.array(bodies, pa.binary()))
 
 
-def count(texts: DataFrame, symbols: Symbols) -> DataFrame:
+def windows_of(body: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The packed windows of a block and how often each is met."""
+    size = len(body) // 12
+    return np.frombuffer(body, np.int64, size), np.frombuffer(body, np.int32, size, 8 * size)
+
+
+def count(texts: DataFrame, symbols: Symbols, blocks: bool = False) -> DataFrame:
     """One pass over all texts: head counts, class counts, rows of other words, training windows.
 
     A TAIL row is (word, text, times in the text), times negative where the
     text is held out. Every training token is a window; a WINDOW row is
-    (two before, one before and symbol packed, times among some of a batch).
+    (two before, one before and symbol packed, times among some of a batch), or,
+    with ``blocks``, thousands of these in one value, which training reads
+    several times without a row for each.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shaped(rows: pa.RecordBatch) -> pa.RecordBatch:
+        if not blocks or "block" in rows.schema.names:
+            return rows
+        return rows.append_column("block", pa.nulls(rows.num_rows, pa.binary()))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = np.zeros(len(symbols.head.keys) + 1, np.int64)
             classes = np.zeros(CLASSES, np.int64)
@@ -282,16 +307,19 @@ def count(texts: DataFrame, symbols: Symbols) -> DataFrame:
                 packed.append((two[use] << 40) | (one[use] << 20) | symbol[use])
                 held += len(packed[-1])
                 if held >= HELD:
-                    yield window_rows(packed, int(chunk.texts[0]))
+                    yield from window_rows(packed, int(chunk.texts[0]), blocks)
                     packed, held = [], 0
             if held:
-                yield window_rows(packed, held)
+                yield from window_rows(packed, held, blocks)
             some = np.flatnonzero(counts)
             yield batch_of(HEAD, some, None, counts[some])
             some = np.flatnonzero(classes)
             yield batch_of(CLASS, some, None, classes[some])
 
-    return texts.mapInArrow(run, ROWS)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return map(shaped, counted(batches))
+
+    return texts.mapInArrow(run, BLOCK_ROWS if blocks else ROWS)
 
 
 def summed(at: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
@@ -381,7 +409,7 @@ def trained(
     spark: SparkSession, windows: DataFrame, start: Model, noise: np.ndarray,
     rounds: int = 3, batch: int = 1024, negatives: int = 16, rate: float = 0.12,
 ) -> Model:
-    """Rounds of local training in every partition, then the mean of all models.
+    """Rounds of local training in every partition over blocks of windows, then the mean of all models.
 
     What the driver receives is one mean per parameter, whatever the number of partitions.
     """
@@ -393,10 +421,10 @@ def trained(
             sums = [np.full_like(x, 0.05) for x in (mine.context, mine.scale, mine.target, mine.bias)]
             rng = np.random.default_rng(100 + turn)
             seen = 0
-            for part in batches:
-                mixed = rng.permutation(part.num_rows)
-                packed = part.column("key").to_numpy()[mixed]
-                times = part.column("n").to_numpy()[mixed]
+            blocks = (body.as_py() for part in batches for body in part.column("block"))
+            for packed, times in map(windows_of, blocks):
+                mixed = rng.permutation(len(packed))
+                packed, times = packed[mixed], times[mixed]
                 for low in range(0, len(packed), batch):
                     w, n = packed[low : low + batch], times[low : low + batch]
                     mine.train(
@@ -410,10 +438,11 @@ def trained(
                     names=["i", "total", "weight"],
                 )
 
-        means = (
-            windows.mapInArrow(run, "i long, total double, weight double").groupBy("i")
-            .agg((F.sum("total") / F.sum("weight")).alias("mean")).toArrow()
+        means = windows.mapInArrow(run, "i long, total double, weight double").groupBy("i").agg(
+            (F.sum("total") / F.sum("weight")).alias("mean")
         )
+        with arrow_rows(spark, 16):  # blocks are large rows
+            means = means.toArrow()
         if not len(means):
             break
         model = model.filled(means.sort_by("i")["mean"].to_numpy())
@@ -451,7 +480,7 @@ def language_model(
     slim = texts.select("key", "text", "training")
     head = frequent_words(slim, most_frequent, store)
     symbols = Symbols(head, min(model_words, len(head.keys)))
-    rows = store.put(count(slim, symbols))
+    rows = store.put(count(slim, symbols, blocks=True))
 
     # counts of the head and of the classes' other words: bounded tables
     known = rows.filter(F.col("kind").isin(HEAD, CLASS)).groupBy("kind", "key").agg(F.sum("n").alias("n")).toArrow()
@@ -508,7 +537,7 @@ def language_model(
     unigram = np.concatenate([[end], head_counts[:words], class_tokens]) + 0.5
     noise = unigram / unigram.sum()
 
-    windows = rows.filter(F.col("kind") == WINDOW).select("key", "n")
+    windows = rows.filter(F.col("kind") == WINDOW).select("block")
     model = trained(spark, windows, Model.new(symbols, noise, size), noise)
     first, second, norm = model.tables()
     log_count = np.log10(head_counts[:-1] + 1)

@@ -74,3 +74,17 @@ def test_probabilities_of_a_context_sum_to_one():
         plain = q @ model.target.T + model.bias
         plain = plain - np.log(np.exp(plain).sum())
         assert np.allclose(logp, plain, atol=1e-4)
+
+
+def test_blocks_hold_the_windows(spark):
+    docs = frame(spark, 30).select(F.col("doc_id").alias("key"), "text", F.lit(True).alias("training"))
+    symbols = lm.Symbols(lm.frequent_words(docs, 20), 15)
+    plain, blocks = Counter(), Counter()
+    for r in lm.count(docs, symbols).filter(f"kind = {lm.WINDOW}").collect():
+        plain[r.key] += r.n
+    for r in lm.count(docs, symbols, blocks=True).filter(f"kind = {lm.WINDOW}").collect():
+        keys, times = lm.windows_of(bytes(r.block))
+        assert len(keys) == r.n
+        for k, n in zip(keys.tolist(), times.tolist()):
+            blocks[k] += n
+    assert blocks == plain and sum(plain.values()) == 30 * 41
