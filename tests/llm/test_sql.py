@@ -13,7 +13,8 @@ SF_DIR = "/root/testdata/sf0.001"
 def test_query_equals_sql(spark, name):
     df = QUERIES[name](spark, SF_DIR)
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     cur = con.execute(ORACLES[name])
     columns = [c[0] for c in cur.description]
     want = sorted(cur.fetchall(), key=repr)
