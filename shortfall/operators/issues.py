@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shortfall.functions.dates import Period, days_between, parse_date
-from shortfall.functions.nulls import excess, null_safe_join, strict_sum, zero
+from shortfall.functions.nulls import excess, null_safe_join, present_keys, strict_sum, zero
 from shortfall.functions.text import is_true, to_number
 from shortfall.operators.prepare import FORECASTS, NATIONAL_LANES, NEAR_LANES
 from shortfall.operators.relational import salted_join
@@ -45,8 +45,10 @@ def units_offered_nearby(explain: DataFrame, near_filter=None) -> DataFrame:
     although a near centre with stock was offered.
 
     Both sides are reduced to distinct rows before they meet, so a unit id that
-    fills much of the table does not make a hot join key.
+    fills much of the table does not make a hot join key. Missing unit ids are
+    one unit: they match each other and count once.
     """
+    explain = present_keys(explain, ["fiu_id"])
     has_stock = F.col("lzn_value").isin(*NEAR_LANES) & (F.col("effective_inventory") > 0)
     if near_filter is not None:
         has_stock = has_stock & near_filter
