@@ -121,8 +121,92 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
 WHERE rank <= 50"""
 
+#: Base counts; bins of the ratios; steps ranked on texts not labelled good; exact binomial test on the good ones.
+QUALITY = rf"""
+WITH docs AS (
+  SELECT doc_id, text, COALESCE('=' || lang, '') AS stratum, regexp_extract_all(COALESCE(text, ''), '{WORD}') AS w,
+         list_filter(string_split(COALESCE(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS l
+  FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 1)) AS i,
+         unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g
+  FROM docs),
+twice AS (SELECT doc_id, i FROM windows QUALIFY COUNT(*) OVER (PARTITION BY doc_id, g) > 1),
+spans AS (SELECT doc_id, LEAST(3, COALESCE(LEAD(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 3)) AS span FROM twice),
+repeated AS (SELECT doc_id, SUM(span) AS n FROM spans GROUP BY doc_id),
+counted AS (
+  SELECT d.doc_id, d.text, d.stratum, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(COALESCE(text, ''), '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(COALESCE(r.n, 0) AS BIGINT) AS n_repeat_words
+  FROM docs d LEFT JOIN repeated r ON r.doc_id = d.doc_id),
+features AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         LEAST(1000, (100 * n_symbols) // NULLIF(n_words, 0)) AS symbols,
+         LEAST(1000, (1000 * n_dup_lines) // NULLIF(n_words, 0)) AS dup_lines,
+         LEAST(1000, (100 * n_repeat_words) // NULLIF(n_words, 0)) AS repeats,
+         LEAST(1000, (10 * word_chars) // NULLIF(n_words, 0)) AS long_words,
+         1000 - LEAST(1000, (10 * word_chars) // NULLIF(n_words, 0)) AS short_words
+  FROM counted),
+marks AS (SELECT doc_id, MIN(quality) AS label FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+marked AS (SELECT f.*, m.label FROM features f LEFT JOIN marks m ON m.doc_id = f.doc_id WHERE NOT base_failed),
+by_language AS (SELECT stratum, text, MIN(label) AS label FROM marked GROUP BY stratum, text),
+numbers AS (SELECT stratum, COUNT(*) AS n FROM by_language WHERE label = 1 GROUP BY stratum),
+pools AS (
+  SELECT DISTINCT f.stratum,
+         CASE WHEN n.n * ln(0.99) <= ln(0.05 / (SELECT COUNT(*) FROM numbers)) THEN f.stratum ELSE '*' END AS pool
+  FROM features f LEFT JOIN numbers n ON n.stratum = f.stratum),
+texts AS (
+  SELECT pool, text, MIN(label) AS label, MAX(symbols) AS symbols, MAX(dup_lines) AS dup_lines, MAX(repeats) AS repeats,
+         MAX(long_words) AS long_words, MAX(short_words) AS short_words
+  FROM marked JOIN pools USING (stratum) GROUP BY pool, text),
+pairs AS (
+  SELECT pool, text, label, unnest(['symbols', 'dup_lines', 'repeats', 'long_words', 'short_words']) AS rule,
+         unnest([symbols, dup_lines, repeats, long_words, short_words]) AS value
+  FROM texts),
+bins AS (
+  SELECT pool, rule, value AS cut, COUNT(label) AS bad, COUNT(*) - COUNT(label) AS other
+  FROM pairs WHERE label IS NULL OR label = 0 GROUP BY pool, rule, value),
+shares AS (
+  SELECT pool, rule, cut, bad,
+         SUM(bad) OVER down / GREATEST(SUM(bad) OVER (PARTITION BY pool, rule), 1) AS caught,
+         SUM(other) OVER down / GREATEST(SUM(other) OVER (PARTITION BY pool, rule), 1) AS common
+  FROM bins WINDOW down AS (PARTITION BY pool, rule ORDER BY cut DESC)),
+steps AS (
+  SELECT pool, rule, cut, row_number() OVER (PARTITION BY pool ORDER BY lift DESC, rule, cut DESC) AS place
+  FROM (SELECT *, caught / (common + CAST(0.005 AS DOUBLE)) AS lift FROM shares WHERE bad > 0) WHERE lift > 1),
+sizes AS (SELECT pool, COUNT(*) AS n, COUNT(*) OVER () AS strata FROM texts WHERE label = 1 GROUP BY pool),
+chances AS (SELECT pool, n, strata, unnest(range(0, CAST(floor(n * 0.01) AS BIGINT) + 1)) AS k FROM sizes),
+sums AS (
+  SELECT pool, strata, k, SUM(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln(0.01) + (n - k) * ln(0.99)))
+                            OVER (PARTITION BY pool ORDER BY k) AS chance
+  FROM chances),
+allowed AS (SELECT pool, COALESCE(MAX(k) FILTER (chance <= 0.05 / strata), -1) AS k FROM sums GROUP BY pool),
+firsts AS (
+  SELECT p.pool, p.text, MIN(s.place) AS place
+  FROM pairs p JOIN steps s ON s.pool = p.pool AND s.rule = p.rule AND s.cut <= p.value WHERE p.label = 1 GROUP BY p.pool, p.text),
+lost AS (SELECT pool, place, SUM(COUNT(*)) OVER (PARTITION BY pool ORDER BY place) AS n FROM firsts GROUP BY pool, place),
+stops AS (SELECT pool, MIN(place) AS stop FROM lost JOIN allowed USING (pool) WHERE n > k GROUP BY pool),
+cuts AS (
+  SELECT pool, MIN(cut) FILTER (rule = 'symbols') AS symbols, MIN(cut) FILTER (rule = 'dup_lines') AS dup_lines,
+         MIN(cut) FILTER (rule = 'repeats') AS repeats, MIN(cut) FILTER (rule = 'long_words') AS long_words,
+         MIN(cut) FILTER (rule = 'short_words') AS short_words
+  FROM steps JOIN allowed a USING (pool) LEFT JOIN stops USING (pool)
+  WHERE a.k >= 0 AND (stop IS NULL OR place < stop) GROUP BY pool),
+judged AS (
+  SELECT f.*, COALESCE(a.k >= 0, FALSE) AS certified,
+         CASE WHEN NOT base_failed THEN NULLIF(concat_ws(',',
+           CASE WHEN f.symbols >= c.symbols THEN 'symbols' END, CASE WHEN f.dup_lines >= c.dup_lines THEN 'dup_lines' END,
+           CASE WHEN f.repeats >= c.repeats THEN 'repeats' END, CASE WHEN f.long_words >= c.long_words THEN 'long_words' END,
+           CASE WHEN f.short_words >= c.short_words THEN 'short_words' END), '') END AS rejected_by
+  FROM features f JOIN pools USING (stratum) LEFT JOIN allowed a USING (pool) LEFT JOIN cuts c USING (pool))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND rejected_by IS NULL AS kept, rejected_by, certified
+FROM judged"""
+
 ORACLES: dict[str, str] = {
     "op3_jaccard_join": JACCARD,
+    "op4_quality_rules": QUALITY,
     "op8_mixing": MIXING,
     "op11_spelling_variants": SPELLING,
     "op12_ranked_search": SEARCH,

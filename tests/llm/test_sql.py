@@ -13,7 +13,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def test_query_equals_sql(spark, name):
     df = QUERIES[name](spark, SF_DIR)
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     cur = con.execute(ORACLES[name])
     columns = [c[0] for c in cur.description]

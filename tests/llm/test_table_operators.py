@@ -3,6 +3,9 @@
 import math
 import zlib
 from collections import Counter
+from random import Random
+
+from pyspark.sql import functions as F
 
 from shortfall.llm import html, lm, mixing, quality, sharding, urls
 from shortfall.llm.base import arrow_rows
@@ -57,10 +60,96 @@ def test_quality_base_counts_and_binomial(spark):
         want[i] = (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), len(covered))
     assert all((r.n_words, r.word_chars, r.n_symbols, r.n_repeat_words) == want[r.doc_id] for r in got)
     assert all(r.kept != r.base_failed for r in got)  # too few labels to certify a cutoff
-    tails = spark.createDataFrame([(k, n) for n in (1, 40, 2000) for k in (0, 1, 7)], "k long, n long")
-    for k, n, p in tails.select("k", "n", quality.at_most(tails.k, tails.n, 0.01)).collect():
-        exact = sum(math.comb(n, i) * 0.01**i * 0.99 ** (n - i) for i in range(min(k, n) + 1))
-        assert p == 1.0 if k > 0.01 * n else abs(p - exact) < 1e-9
+    assert not any(r.certified for r in got)
+    assert quality.quality(spark, frame.limit(0), labels).count() == 0
+    assert quality.quality(spark, frame, labels.limit(0)).count() == len(rows)
+
+
+def allowed(n, share, level):
+    total, k = 0.0, -1
+    for i in range(int(n * share) + 1):
+        total += math.comb(n, i) * share**i * (1 - share) ** (n - i)
+        k = i if total <= level else k
+    return k
+
+
+def test_allowed_rejections(spark):
+    sizes = [1, 40, 298, 299, 436, 2000, 9000]
+    frame = spark.createDataFrame([(n,) for n in sizes], "n long")
+    for level in (0.05, 0.0125):
+        got = frame.select("n", quality.allowed_rejections(frame.n, 0.01, F.lit(level)).alias("k")).collect()
+        assert {r.n: r.k for r in got} == {n: allowed(n, 0.01, level) for n in sizes}
+
+
+def test_quality_cutoffs_equal_brute_force(spark):
+    """Every text's verdict against the path and the test written out in Python, with copies, ties and a tiny stratum."""
+    random = Random(4)
+
+    def text(bad):
+        words = [random.choice("abcdefgh") * random.randint(2, 6) + str(random.randint(0, 10**6)) for _ in range(60)]
+        words += ["#$%"] * (random.randint(3, 8) if bad else random.random() < 0.01)
+        words += ["x" * 90] * (random.random() < 0.02)
+        random.shuffle(words)
+        return " ".join(words)
+
+    rows, marks = [], []
+    for i in range(900):
+        bad = random.random() < 0.2
+        copies = 40 if i == 5 else 1
+        body, lang = text(bad), "en" if i < 800 else ("de" if i % 2 else None)
+        for c in range(copies):
+            rows.append((1000 * i + c, body, lang))
+            if random.random() < 0.7:
+                marks.append((1000 * i + c, 0 if bad else 1, 0))
+    rows.append(rows[-1])
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(marks + marks[:3] + [(None, 1, 0)], "doc_id long, quality int, toxic int")
+    got = quality.quality(spark, frame, labels, false_rejections=0.02).collect()
+
+    def values(r):
+        return {
+            "symbols": min(1000, 100 * r.n_symbols // r.n_words), "dup_lines": min(1000, 1000 * r.n_dup_lines // r.n_words),
+            "repeats": min(1000, 100 * r.n_repeat_words // r.n_words), "long_words": min(1000, 10 * r.word_chars // r.n_words),
+            "short_words": 1000 - min(1000, 10 * r.word_chars // r.n_words),
+        }
+
+    label, of_id = dict((i, q) for i, q, _ in marks), {i: (t, lang) for i, t, lang in rows}
+    texts = {}
+    for r in got:
+        if not r.base_failed:
+            t, lang = of_id[r.doc_id]
+            entry = texts.setdefault((lang, t), [values(r), None])
+            q = label.get(r.doc_id)
+            entry[1] = q if entry[1] is None else entry[1] if q is None else min(q, entry[1])
+    n = Counter(lang for (lang, _), (_, q) in texts.items() if q == 1)
+    pool = {lang: lang if 0.98 ** n[lang] <= 0.05 / len(n) else "*" for lang in ("en", "de", None)}
+    assert pool == {"en": "en", "de": "*", None: "*"}
+    names = set(pool.values())
+    cuts = {}
+    for p in names:
+        members = [e for (lang, _), e in texts.items() if pool[lang] == p]
+        unmarked, bads, good = ([v for v, q in members if q == x] for x in (None, 0, 1))
+        steps = []
+        for rule in quality.RULES:
+            for cut in {v[rule] for v in bads}:
+                caught = sum(v[rule] >= cut for v in bads) / len(bads)
+                common = sum(v[rule] >= cut for v in unmarked) / max(1, len(unmarked))
+                if caught / (common + 0.01) > 1:
+                    steps.append((-caught / (common + 0.01), rule, -cut))
+        most, used = allowed(len(good), 0.02, (1 - 0.95) / len(names)), {}
+        for _, rule, cut in sorted(steps):
+            trial = {**used, rule: min(-cut, used.get(rule, 10**9))}
+            if sum(any(v[r] >= c for r, c in trial.items()) for v in good) > most:
+                break
+            used = trial
+        cuts[p] = (most >= 0, used)
+    assert cuts["en"][0] and cuts["en"][1] and not cuts["*"][0]
+    for r in got:
+        sure, used = cuts[pool[of_id[r.doc_id][1]]]
+        want = [] if r.base_failed else [x for x in quality.RULES if values(r)[x] >= used.get(x, 10**9)]
+        assert (r.certified, r.rejected_by or "") == (sure, ",".join(want))
+        assert r.kept == (not r.base_failed and not want)
+    assert sum(not r.kept and not r.base_failed for r in got) > 100
 
 
 def test_language_model_counts(spark):
