@@ -72,20 +72,27 @@ class Store:
             path.getFileSystem(conf).delete(path, True)
 
 
-def sample_ids(rows: DataFrame, label: str, per_label: int, key: str = "doc_id") -> DataFrame:
-    """About ``per_label`` rows (key, label) of each label at most, chosen by hash.
-
-    Labels are counted first, so that only about 1.5 times the wanted rows
-    reach the ranking: no label, however frequent, meets in one task.
+def sample_texts(rows: DataFrame, label: str, per_label: int, most_chars: int) -> DataFrame:
+    """``per_label`` different texts of each label at most, as rows (label, text, repeats).
+
+    Texts are told apart and chosen by 64-bit hashes, so that repeated rows and
+    ids, null ids too, change nothing. The choice ranks hashes within 256 parts
+    of a label before it ranks the parts' best: no label, however frequent,
+    meets in one task. Repeats are added up, not returned as rows. Of a text
+    the first ``most_chars`` characters are returned. Null labels are left out.
     """
-    rows = rows.select(key, label).filter(F.col(label).isNotNull())
-    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("label_count"))
-    point = F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = rows.join(counts, label).withColumn("point", point)
-    chosen = chosen.filter(
-        F.col("point") * F.col("label_count") < F.lit(1.5 * per_label + 50.0)
-    )
-    rank = F.row_number().over(Window.partitionBy(label).orderBy("point", key))
+    rows = rows.filter(F.col(label).isNotNull()).select(
+        label, F.coalesce("text", F.lit("")).alias("text")
+    ).withColumn("text_key", F.xxhash64("text", F.lit(17)))
+    keys = rows.select(label, "text_key").groupBy(label, "text_key").agg(F.count(F.lit(1)).alias("repeats"))
+    order = [F.abs(F.col("text_key").bitwiseAND((1 << 62) - 1)), F.col("text_key")]
+    for part in ([F.pmod("text_key", F.lit(256))], []):
+        rank = F.row_number().over(Window.partitionBy(label, *part).orderBy(*order))
+        keys = keys.withColumn("rank", rank).filter(F.col("rank") <= per_label).drop("rank")
+    cut = rows.withColumn("text", F.substring("text", 1, most_chars))
     return (
-        chosen.withColumn("rank", rank).filter(F.col("rank") <= per_label).select(key, label)
+        cut.join(keys, [label, "text_key"])
+        .groupBy(label, "text_key")
+        .agg(F.min("text").alias("text"), F.first("repeats").alias("repeats"))
+        .drop("text_key")
     )

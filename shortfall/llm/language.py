@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shortfall.llm.base import crc_mod, sample_ids
+from shortfall.llm.base import crc_mod, sample_texts
 
 OTHER = re.compile(r"[\W\d_]+")
 UNDETERMINED = "und"
@@ -32,43 +32,34 @@ class LanguageModel:
     the dictionary, not the text's own past, the main source of matches.
     """
 
-    contents: dict[str, list[bytes]]
+    contents: dict[str, bytes]
     block: int = 1024
-    short: int = 600
     min_margin: float = 0.004
     _coders: dict = field(default_factory=dict, repr=False)
 
     def __getstate__(self):
         return {**self.__dict__, "_coders": {}}
 
-    def coders(self) -> dict[str, list]:
+    def coders(self) -> dict:
         if not self._coders:
             made = {}
             for lang in sorted(self.contents):
-                made[lang] = []
-                for content in self.contents[lang]:
-                    params = zstandard.ZstdCompressionParameters.from_level(
-                        5, window_log=18, min_match=3, strategy=zstandard.STRATEGY_BTOPT,
-                        write_content_size=False, write_dict_id=False, write_checksum=False,
-                    )
-                    data = zstandard.ZstdCompressionDict(
-                        content, dict_type=zstandard.DICT_TYPE_RAWCONTENT
-                    )
-                    data.precompute_compress(compression_params=params)
-                    made[lang].append(
-                        zstandard.ZstdCompressor(dict_data=data, compression_params=params)
-                    )
+                params = zstandard.ZstdCompressionParameters.from_level(
+                    5, window_log=18, min_match=3, strategy=zstandard.STRATEGY_BTOPT,
+                    write_content_size=False, write_dict_id=False, write_checksum=False,
+                )
+                data = zstandard.ZstdCompressionDict(
+                    self.contents[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT
+                )
+                data.precompute_compress(compression_params=params)
+                made[lang] = zstandard.ZstdCompressor(dict_data=data, compression_params=params)
             self._coders = made
         return self._coders
 
     def sizes(self, plain: bytes) -> dict[str, int]:
-        """Encoded bytes by language; a short text is encoded with every dictionary of a language."""
+        """Encoded bytes by language."""
         blocks = [plain[i : i + self.block] for i in range(0, len(plain), self.block)]
-        out = {}
-        for lang, coders in self.coders().items():
-            use = coders if len(plain) <= self.short else coders[:1]
-            out[lang] = sum(len(c.compress(b)) for c in use for b in blocks) / len(use)
-        return out
+        return {lang: sum(len(coder.compress(b)) for b in blocks) for lang, coder in self.coders().items()}
 
     def predict(self, text: str | None) -> tuple[str, float, float, bool]:
         plain = letters(text) if text is not None else b""
@@ -88,28 +79,22 @@ def train(
     docs: DataFrame,
     training: Column,
     per_language: int = 150,
-    dictionary_bytes: int = 64_000,
-    dictionaries: int = 3,
+    dictionary_bytes: int = 192_000,
+    per_text: int = 128_000,
 ) -> LanguageModel:
     """Dictionaries from a bounded sample of labelled rows.
 
-    The bound is ``per_language`` documents and ``dictionaries`` times
-    ``dictionary_bytes`` of normalised text for each language.
+    The bound is ``per_language`` different texts, of each at most
+    ``per_text`` characters, and ``dictionary_bytes`` of normalised text for
+    each language. Rows with a null id are learned from like others; a repeated
+    text counts once.
     """
-    rows = docs.filter(training).select("doc_id", "text", "lang")
-    ids = sample_ids(rows, "lang", per_language)
-    texts = rows.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", "text").collect()
-    plain: dict[str, list[bytes]] = {}
-    for row in sorted(texts, key=lambda r: (r.lang, r.doc_id, r.text or "")):
-        plain.setdefault(row.lang, []).append(letters(row.text or "")[:dictionary_bytes])
-    contents = {}
-    for lang, parts in plain.items():
-        joined = b" ".join(p for p in parts if p)
-        step = min(dictionary_bytes, max(1, len(joined) // dictionaries))
-        cuts = [joined[i * step : (i + 1) * step] for i in range(dictionaries)]
-        cuts = [c for c in cuts if len(c) >= 64] or ([joined] if len(joined) >= 8 else [])
-        if cuts:
-            contents[lang] = cuts
+    sample = sample_texts(docs.filter(training), "lang", per_language, per_text)
+    contents: dict[str, bytes] = {}
+    for row in sorted(sample.collect(), key=lambda r: (r.lang, r.text)):
+        so_far = contents.get(row.lang, b"")
+        contents[row.lang] = (so_far + b" " + letters(row.text)[:per_text]).strip()[:dictionary_bytes]
+    contents = {lang: content for lang, content in contents.items() if len(content) >= 8}
     return LanguageModel(contents)
 
 

@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shortfall.llm.base import crc_mod, sample_ids
+from shortfall.llm.base import crc_mod, sample_texts
 
 OTHER = re.compile(r"[\W\d_]+")
 
@@ -168,11 +168,16 @@ def fit(toxic: list[str], ordinary: list[str], prior: float, content: int = 24_0
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, toxic_rows: int = 2000, ordinary_rows: int = 4000
+    docs: DataFrame,
+    labels: DataFrame,
+    toxic_rows: int = 2000,
+    ordinary_rows: int = 4000,
+    most_chars: int = 20_000,
 ) -> ToxicityModel:
-    """Model from a bounded sample: ``toxic_rows`` and ``ordinary_rows`` labelled documents at most.
+    """Model from a bounded sample: ``toxic_rows`` and ``ordinary_rows`` different labelled texts at most.
 
-    The class shares come from all training labels.
+    Of a sampled text at most ``most_chars`` characters are learned from. The
+    class shares come from all training labels.
     """
     labels = (
         labels.select("doc_id", "toxic")
@@ -180,16 +185,12 @@ def train(
         .filter(crc_mod(F.col("doc_id"), 5) != 0)
     )
     shares = {r.toxic: r["count"] for r in labels.groupBy("toxic").count().collect()}
-    ids = sample_ids(labels, "toxic", max(toxic_rows, ordinary_rows))
-    texts = (
-        docs.select("doc_id", "text")
-        .join(F.broadcast(ids), "doc_id")
-        .select("doc_id", "toxic", "text")
-        .collect()
-    )
-    texts.sort(key=lambda r: (r.doc_id, r.text or ""))
-    toxic = [r.text or "" for r in texts if r.toxic == 1][:toxic_rows]
-    ordinary = [r.text or "" for r in texts if r.toxic == 0][:ordinary_rows]
+    rows = docs.select("doc_id", "text").join(labels.distinct(), "doc_id")
+    sample = sample_texts(rows, "toxic", max(toxic_rows, ordinary_rows), most_chars).collect()
+    # in the order of a hash, which says nothing about a text
+    sample.sort(key=lambda r: (crc32(r.text.encode()), r.text))
+    toxic = [r.text for r in sample if r.toxic == 1][:toxic_rows]
+    ordinary = [r.text for r in sample if r.toxic == 0][:ordinary_rows]
     total = sum(shares.values())
     prior = min(max(shares.get(1, 0) / total, 1e-4), 1 - 1e-4) if total else 0.05
     return fit(toxic, ordinary, prior)

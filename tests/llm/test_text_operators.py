@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shortfall.llm import decontaminate, jaccard, language, toxicity
+from shortfall.llm.base import sample_texts
 
 DOCS = "doc_id long, text string, lang string, source string, score double"
 
@@ -175,3 +176,25 @@ def test_toxicity_on_small_samples(spark):
     assert got[900].score == got[901].score < 0.5
     assert toxicity.toxicity(docs.limit(0), labels).count() == 0
     assert toxicity.toxicity(docs, labels.limit(0)).filter("predicted = 1").count() == 0
+
+
+def test_samples_take_different_texts(spark):
+    rows = [(1, f"text {i}", "a") for i in range(300)] + [(None, "the same one", "b")] * 500 + [(2, "x" * 50, "b"), (3, "y", None)]
+    rows += [(7, f"text {i % 40}", "c") for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, label string").repartition(7)
+    got = sample_texts(frame, "label", 60, 20).collect()
+    assert sorted((r.text, r.repeats) for r in got if r.label == "b") == [("the same one", 500), ("x" * 20, 1)]
+    assert len({r.text for r in got if r.label == "a"}) == sum(r.label == "a" for r in got) == 60
+    assert sorted((r.text, r.repeats) for r in got if r.label == "c") == sorted((f"text {i}", 10) for i in range(40))
+    again = sample_texts(frame.repartition(3), "label", 60, 20).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, got))
+    assert sample_texts(frame.limit(0), "label", 60, 20).count() == 0
+
+
+def test_language_of_repeated_rows_and_null_ids(spark):
+    en, de = "the house of the old man and the sea ", "das haus des alten mannes und das meer "
+    rows = [(i % 40 if i % 40 % 3 else None, en * 3, "en") for i in range(8000)]
+    rows += [(None, de * (1 + i % 3), "de") for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    counts = {r.lang_pred: r["count"] for r in language.language_id(frame).groupBy("lang_pred").count().collect()}
+    assert counts == {"en": 8000, "de": 300}
