@@ -128,3 +128,18 @@ def fanout_audit(df: DataFrame, key: str, value: str) -> DataFrame:
 def last_rows(df: DataFrame, key: Sequence[str], n: int = 6) -> DataFrame:
     """The last ``n`` rows in key order."""
     return df.orderBy(*[F.desc(k) for k in key]).limit(n)
+
+
+def few_distinct(df: DataFrame, keys: Sequence[Column | str], value: str, limit: int, name: str) -> DataFrame:
+    """Groups with fewer than ``limit`` distinct values, with their exact number; missing values do not count.
+
+    ``HAVING COUNT(DISTINCT value) < limit`` needs no more than ``limit``
+    values of a group. A theta sketch of at least twice that size holds the
+    hashes themselves as long as they are that few, so the number is exact up
+    to equal 64-bit hashes. Each task keeps and ships one such set per group,
+    however many rows or values the group has, instead of every distinct value.
+    """
+    size = max(4, (2 * limit - 1).bit_length())
+    sketch = F.theta_sketch_agg(value, size)
+    counted = df.groupBy(*keys).agg(F.theta_sketch_estimate(sketch).alias(name))
+    return counted.where(F.col(name) < limit)

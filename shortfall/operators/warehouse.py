@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shortfall.functions.dates import Period, week_of_year
+from shortfall.operators.relational import few_distinct
 
 # Fixed values of the source systems: unit states that count as cancelled, the
 # business unit with its own supply chain, the cancelled purchase-order state.
@@ -96,10 +97,9 @@ def low_sale_products_4wk(
         .join(sellers, F.col("seller_id_key") == F.col("seller_dim_key"), "left")
         .where(F.col("is_first_party_seller") == 1)
         .join(products, F.col("product_id_key") == F.col("product_dim_key"), "left")
-        .groupBy(*[F.col(c).alias(name) for c, name in hierarchy.items()])
-        .agg(F.count_distinct("fulfill_item_unit_id").alias("sales"))
-        .where(F.col("sales") < max_units)
     )
+    groups = [F.col(c).alias(name) for c, name in hierarchy.items()]
+    sold = few_distinct(sold, groups, "fulfill_item_unit_id", max_units, "sales")
     return sold.join(min_sale_depth, "category", "left").where(
         F.col("sales") < F.col("min_sales_depth")
     )

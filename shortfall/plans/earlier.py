@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from shortfall.functions.dates import Period
 from shortfall.operators import legacy, matrix, prepare, skew
+from shortfall.sources import files
+from shortfall.sources.schemas import SCHEMAS
 
 PRODUCT_COLUMNS = ["fsn", "bu", "super_category", "category", "sub_category", "vertical", "brand"]
 
@@ -173,3 +175,20 @@ def plan_file_anchor(period: Period) -> dt.date:
     return period.shift("wk_start", -7 + tuesday.isoweekday() % 7)
 
 
+#: A plan row replaces those of older files for the same product, centre and plan day.
+PLAN_KEYS = ["FSN", "FC", "reco_date"]
+
+
+def plan_of_files(spark: SparkSession, template: str, period: Period, newest: bool = True) -> DataFrame:
+    """The plan of the ten dated files a run reads; all must be there.
+
+    With ``newest`` a file that restates a product, centre and plan day
+    replaces what older files say of it; otherwise all rows add up.
+    """
+    rows = files.read_dated_files(spark, template, plan_file_anchor(period), SCHEMAS["auto_reco"])
+    return files.newest_rows(rows, PLAN_KEYS) if newest else rows.drop(files.FILE_DAY)
+
+
+def with_plan_files(inputs: EarlierInputs, spark: SparkSession, template: str, period: Period) -> EarlierInputs:
+    """``inputs`` whose plan comes from the dated files."""
+    return replace(inputs, reco_file=plan_of_files(spark, template, period))

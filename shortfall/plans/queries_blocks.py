@@ -12,7 +12,7 @@ from shortfall.operators import matrix, quality
 from shortfall.operators import relational as rel
 from shortfall.operators.prepare import sales_by
 from shortfall.plans.driver_tables import PERIOD
-from shortfall.plans.earlier import plan_file_anchor
+from shortfall.plans.earlier import plan_file_anchor, plan_of_files
 from shortfall.plans.registry import query, rounded
 from shortfall.sources import files
 from shortfall.sources.schemas import SCHEMAS
@@ -84,6 +84,34 @@ def _weekly_files(t):
     )
 
 
+@query(
+    "reco_restated",
+    """SELECT "FSN", "FC", SUM(generated) AS generated, SUM(row_count) AS row_count FROM (
+         SELECT l_partkey AS "FSN", 'FC' || s_nationkey AS "FC",
+                SUM(l_quantity + CASE WHEN weeks > 0 AND l_partkey % 2 = 0 THEN 1 ELSE 0 END) AS generated, COUNT(*) AS row_count
+         FROM (SELECT *, date_diff('day', CAST(l_shipdate AS DATE), DATE '1997-06-24') // 7 AS weeks FROM lineitem
+               WHERE CAST(l_shipdate AS DATE) <= DATE '1997-06-24' AND CAST(l_shipdate AS DATE) > DATE '1997-04-15') x
+         JOIN supplier ON s_suppkey = l_suppkey GROUP BY ALL) y GROUP BY ALL""",
+)
+def _restated_plan(t):
+    """Weekly plan files that restate the even products of the week before; the newest file counts."""
+    anchor = plan_file_anchor(PERIOD)
+    root = new_path(t.spark, "restated-files")
+    weeks = F.floor(dates.days_between(anchor, F.to_date("reco_date", "dd/MM/yyyy")) / 7).cast("int")
+    generated = F.col("`Qty.Generated`")
+    plan = t.reco_file.withColumn("weeks", weeks).where(F.col("weeks").between(0, 9))
+    again = plan.where((F.col("weeks") > 0) & (F.col("FSN") % 2 == 0))
+    again = again.withColumns({"weeks": F.col("weeks") - 1, "Qty.Generated": generated + 1})
+    file_day = F.date_sub(F.lit(anchor), F.col("weeks") * 7)
+    plan.unionByName(again).withColumn("file_day", file_day).drop("weeks").write.partitionBy("file_day").csv(
+        root, header=True, nullValue="NA"
+    )
+    rows = plan_of_files(t.spark, root + "/file_day={date}", PERIOD)
+    return rows.groupBy(F.col("FSN").cast("bigint").alias("FSN"), "FC").agg(
+        F.sum(generated).alias("generated"), F.count("*").alias("row_count")
+    )
+
+
 query("checkpoint_stage", "SELECT fsn, fc, fsn_vendor_count FROM d_vendor_fsn")(
     lambda t: stage(t.weekly.fsn_vendors, "vendors")
 )

@@ -1,10 +1,11 @@
 import datetime as dt
+from dataclasses import fields
 
 import pytest
 from pyspark.sql import functions as F
 
 from shortfall.functions.dates import Period
-from shortfall.plans.earlier import plan_file_anchor
+from shortfall.plans.earlier import EarlierInputs, plan_file_anchor, plan_of_files, with_plan_files
 from shortfall.sources import files, stage
 from shortfall.sources.schemas import SCHEMAS
 
@@ -67,3 +68,55 @@ def test_declared_schemas_parse(spark):
 
 def test_plan_files_are_anchored_before_the_week():
     assert plan_file_anchor(Period(dt.date(2017, 3, 5), dt.date(2017, 3, 11))) == dt.date(2017, 2, 28)
+
+
+PLAN = "reco_date string, FSN string, FC string, `Qty.Generated` double"
+
+
+def plan_files(spark, tmp_path, days):
+    """Each file holds its own week, restates product a of the week before and gives missing keys twice."""
+    for k, day in enumerate(days):
+        own, older = day.strftime("%d/%m/%Y"), (day - dt.timedelta(days=7)).strftime("%d/%m/%Y")
+        rows = [(own, "a", "X", 1.0), (own, "a", "X", 2.0), (own, "b", "X", 4.0), (older, "a", "X", 100.0), ("01/01/2017", None, "X", 10.0 + k)]
+        files.write_csv(spark.createDataFrame(rows, PLAN), str(tmp_path / f"plan_{day}"))
+
+
+def test_newest_plan_file_wins(spark, tmp_path):
+    anchor = dt.date(2017, 3, 7)
+    days = files.weekly_dates(anchor, 3)
+    plan_files(spark, tmp_path, days)
+    dated = files.read_dated_files(spark, str(tmp_path / "plan_{date}"), anchor, PLAN, weeks=3)
+    assert {r[files.FILE_DAY] for r in dated.collect()} == set(days) and dated.count() == 15
+    keys = ["FSN", "FC", "reco_date"]
+    got = files.newest_rows(dated, keys)
+    assert got.columns == ["reco_date", "FSN", "FC", "Qty.Generated"]
+    want = []
+    for row in map(tuple, dated.collect()):
+        same = [r for r in map(tuple, dated.collect()) if r[:3] == row[:3]]
+        if row[4] == max(r[4] for r in same):
+            want.append(row[:4])
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want)) and len(want) == 9
+    assert [r["Qty.Generated"] for r in got.where("FSN is null").collect()] == [10.0]
+
+
+def test_missing_plan_file_is_named(spark, tmp_path):
+    period = Period.ending_before(dt.date(2017, 3, 7))
+    days = files.weekly_dates(plan_file_anchor(period))
+    for day in days[:4] + days[5:]:
+        files.write_csv(spark.createDataFrame([("01/03/2017", "a", "X", 1.0)], PLAN), str(tmp_path / f"plan_{day}"))
+    with pytest.raises(FileNotFoundError, match=f"plan_{days[4]}$"):
+        plan_of_files(spark, str(tmp_path / "plan_{date}"), period)
+
+
+def test_run_takes_its_plan_from_files(spark, tmp_path):
+    period = Period.ending_before(dt.date(2017, 3, 7))
+    anchor = plan_file_anchor(period)
+    schema = SCHEMAS["auto_reco"]
+    for k, day in enumerate(files.weekly_dates(anchor)):
+        rows = [(anchor.strftime("%d/%m/%Y"), "a", "X", 1.0, 1.0, 1.0, 1.0, float(k), 2.0)]
+        files.write_csv(spark.createDataFrame(rows, schema), str(tmp_path / f"plan_{day}"))
+    none = {f.name: None for f in fields(EarlierInputs)}
+    inputs = with_plan_files(EarlierInputs(**none), spark, str(tmp_path / "plan_{date}"), period)
+    assert [r["Qty.Recommended"] for r in inputs.reco_file.collect()] == [0.0]
+    every = plan_of_files(spark, str(tmp_path / "plan_{date}"), period, newest=False)
+    assert sorted(r["Qty.Recommended"] for r in every.collect()) == [float(k) for k in range(10)]

@@ -59,3 +59,16 @@ def test_overwrite_audit_and_tail(spark):
     assert {r.v: r.n for r in rel.frequency(df, "v").collect()} == {"a": 2, "b": 1}
     empty = df.where("false")
     assert rel.fanout_audit(empty, "k", "v").count() == 0
+
+
+def test_few_distinct_is_exact_below_its_limit(spark):
+    """One product holds most rows; values repeat; missing ones do not count."""
+    rows = [("hot", i % 5000) for i in range(40000)] + [("none", None)] * 3 + [(None, 1), (None, 1), (None, 2)]
+    rows += [(f"k{n}", v) for n in range(70) for v in range(n) for _ in range(3)]
+    df = spark.createDataFrame(rows, "k string, v bigint").repartition(5)
+    for limit in (1, 2, 30, 64):
+        got = {r.k: r.n for r in rel.few_distinct(df, ["k"], "v", limit, "n").collect()}
+        want = {f"k{n}": n for n in range(1, min(70, limit))} | {"none": 0}
+        assert got == want | ({None: 2} if limit > 2 else {})
+    plan = rel.few_distinct(df, ["k"], "v", 30, "n")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Expand" not in plan
