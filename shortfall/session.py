@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     # split hot join partitions even where that costs a further exchange
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # repeated values make files far smaller than their rows: compare with the broadcast limit as if they did not
+    "spark.sql.sources.fileCompressionFactor": "8.0",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
 }
