@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shortfall.functions import dates, nulls, text
-from shortfall.operators import matrix, quality
+from shortfall.operators import centres, matrix, quality
 from shortfall.operators import relational as rel
 from shortfall.operators.prepare import sales_by
 from shortfall.plans.driver_tables import PERIOD
@@ -245,10 +245,10 @@ query(
         COALESCE(r.fc, u.fc) AS fc, {rounded(['ratio'])}, u.nat_sales
         FROM d_ratio r FULL JOIN d_fsn_dp_fc u ON u.fsn = r.fsn AND u.dest_pincode = r.dest_pincode AND u.fc = r.fc""",
 )(
-    lambda t: t.weekly.ratio.join(
-        t.weekly.sales_fsn_dp_fc.select("fsn", "dest_pincode", "fc", "nat_sales"),
-        ["fsn", "dest_pincode", "fc"],
-        "full",
+    lambda t: centres.ratio_full_join(
+        t.weekly_staged.centre_sets,
+        t.weekly_staged.near_centres,
+        t.weekly_staged.sales_fsn_dp_fc.select("fsn", "dest_pincode", "fc", "nat_sales"),
     )
 )
 query(
