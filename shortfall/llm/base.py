@@ -82,16 +82,47 @@ def sample_texts(rows: DataFrame, label: str, per_label: int, most_chars: int) -
     the first ``most_chars`` characters are returned. Null labels are left out.
     """
     rows = rows.filter(F.col(label).isNotNull()).select(
-        label, F.coalesce("text", F.lit("")).alias("text")
-    ).withColumn("text_key", F.xxhash64("text", F.lit(17)))
+        label, F.coalesce("text", F.lit("")).alias("text"), text_key().alias("text_key")
+    )
+    return _texts_of(rows, sample_keys(rows, label, per_label), [label, "text_key"], label, most_chars)
+
+
+def sample_texts_of_ids(
+    docs: DataFrame, labels: DataFrame, label: str, per_label: int, most_chars: int
+) -> DataFrame:
+    """``sample_texts`` of documents whose label stands in another table, by ``doc_id``.
+
+    The texts are chosen by hash first, so only hashes meet the labels in a
+    shuffle. The chosen hashes, ``per_label`` of each label, go to the texts by
+    broadcast: there must be few labels.
+    """
+    keyed = docs.select("doc_id", text_key().alias("text_key")).join(labels, "doc_id")
+    keys = sample_keys(keyed.filter(F.col(label).isNotNull()), label, per_label)
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"), text_key().alias("text_key"))
+    return _texts_of(texts, F.broadcast(keys), ["text_key"], label, most_chars)
+
+
+def text_key() -> Column:
+    """By what different texts are told apart; a missing text is an empty one."""
+    return F.xxhash64(F.coalesce("text", F.lit("")), F.lit(17))
+
+
+def sample_keys(rows: DataFrame, label: str, per_label: int) -> DataFrame:
+    """The chosen (label, text_key) of ``sample_texts`` with their repeats."""
     keys = rows.select(label, "text_key").groupBy(label, "text_key").agg(F.count(F.lit(1)).alias("repeats"))
     order = [F.abs(F.col("text_key").bitwiseAND((1 << 62) - 1)), F.col("text_key")]
     for part in ([F.pmod("text_key", F.lit(256))], []):
         rank = F.row_number().over(Window.partitionBy(label, *part).orderBy(*order))
         keys = keys.withColumn("rank", rank).filter(F.col("rank") <= per_label).drop("rank")
+    return keys
+
+
+def _texts_of(
+    rows: DataFrame, keys: DataFrame, on: list[str], label: str, most_chars: int
+) -> DataFrame:
     cut = rows.withColumn("text", F.substring("text", 1, most_chars))
     return (
-        cut.join(keys, [label, "text_key"])
+        cut.join(keys, on)
         .groupBy(label, "text_key")
         .agg(F.min("text").alias("text"), F.first("repeats").alias("repeats"))
         .drop("text_key")

@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shortfall.llm.base import crc_mod, sample_texts
+from shortfall.llm.base import crc_mod, sample_texts_of_ids
 
 OTHER = re.compile(r"[\W\d_]+")
 
@@ -185,8 +185,8 @@ def train(
         .filter(crc_mod(F.col("doc_id"), 5) != 0)
     )
     shares = {r.toxic: r["count"] for r in labels.groupBy("toxic").count().collect()}
-    rows = docs.select("doc_id", "text").join(labels.distinct(), "doc_id")
-    sample = sample_texts(rows, "toxic", max(toxic_rows, ordinary_rows), most_chars).collect()
+    most = max(toxic_rows, ordinary_rows)
+    sample = sample_texts_of_ids(docs, labels.distinct(), "toxic", most, most_chars).collect()
     # in the order of a hash, which says nothing about a text
     sample.sort(key=lambda r: (crc32(r.text.encode()), r.text))
     toxic = [r.text for r in sample if r.toxic == 1][:toxic_rows]

@@ -198,3 +198,27 @@ def test_language_of_repeated_rows_and_null_ids(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     counts = {r.lang_pred: r["count"] for r in language.language_id(frame).groupBy("lang_pred").count().collect()}
     assert counts == {"en": 8000, "de": 300}
+
+
+def test_texts_of_labelled_ids_are_not_shuffled(spark):
+    """The labels, in a table of their own, meet hashes; whole texts used to be shuffled with them."""
+    from shortfall.llm.base import sample_texts_of_ids
+
+    docs = spark.createDataFrame(
+        [(i, None if i % 40 == 0 else f"text {i % 90}") for i in range(400)], "doc_id long, text string"
+    )
+    labels = spark.createDataFrame(
+        [(i % 300, i % 3 if i % 3 < 2 else None) for i in range(330)], "doc_id long, toxic int"
+    )
+    want = sample_texts(docs.join(labels, "doc_id"), "toxic", 30, 6)
+    got = sample_texts_of_ids(docs, labels, "toxic", 30, 6)
+    columns = ["toxic", "text", "repeats"]
+    as_sorted = lambda df: sorted(map(tuple, df.select(*columns).collect()))
+    assert len(as_sorted(got)) == 60 and as_sorted(got) == as_sorted(want)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sample_texts_of_ids(docs, labels, "toxic", 30, 6)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin [text_key" in plan
