@@ -233,14 +233,17 @@ def without_gc() -> Iterator[None]:
 _WORKERS: dict[str, ByteBPE] = {}
 
 
+def _lists(ids: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0] + [len(i) for i in ids]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, np.concatenate([*ids, np.empty(0, np.int32)]))
+
+
 def encode(model: ByteBPE, text: Column) -> Column:
     """Ids (array of int) of whole texts; a null text counts as empty, an empty text has none."""
 
     @F.arrow_udf("array<int>")
     def ids_of(texts: pa.Array) -> pa.Array:
-        ids = list(model.worker().encode_all(t or "" for t in texts.to_pylist()))
-        ends = np.cumsum([0] + [len(i) for i in ids]).astype(np.int32)
-        return pa.ListArray.from_arrays(ends, np.concatenate([*ids, np.empty(0, np.int32)]))
+        return _lists(list(model.worker().encode_all(t or "" for t in texts.to_pylist())))
 
     return ids_of(text)
 
@@ -256,6 +259,24 @@ def decode(model: ByteBPE, ids: Column) -> Column:
     return bytes_of(ids)
 
 
+def encode_and_decode(model: ByteBPE, text: Column) -> Column:
+    """``ids`` of whole texts and the bytes (``decoded``) that these ids decode to, as one struct.
+
+    ``decode`` of ``encode`` beside the ids themselves would encode each text
+    twice: Spark runs functions that feed each other in one step, a chain for
+    each column.
+    """
+
+    @F.arrow_udf("ids array<int>, decoded binary")
+    def round_trip(texts: pa.Array) -> pa.Array:
+        bpe = model.worker()
+        ids = list(bpe.encode_all(t or "" for t in texts.to_pylist()))
+        decoded = pa.array([bpe.decode(i) for i in ids], pa.binary())
+        return pa.StructArray.from_arrays([_lists(ids), decoded], ["ids", "decoded"])
+
+    return round_trip(text)
+
+
 def encoded(docs: DataFrame, model: ByteBPE) -> DataFrame:
     """Rows (doc_id, ids, decoded) of whole texts: their ids and the bytes these decode to.
 
@@ -263,8 +284,7 @@ def encoded(docs: DataFrame, model: ByteBPE) -> DataFrame:
     into pre-tokens piece by piece. Repeated rows and null ids keep their rows,
     other columns are ignored, an empty table gives no rows.
     """
-    rows = docs.select("doc_id", encode(model, F.col("text")).alias("ids"))
-    return rows.select("doc_id", "ids", decode(model, F.col("ids")).alias("decoded"))
+    return docs.select("doc_id", encode_and_decode(model, F.col("text")).alias("coded")).select("doc_id", "coded.*")
 
 
 def digests(rows: DataFrame) -> DataFrame:

@@ -109,3 +109,15 @@ def test_null_ids_decode_to_nothing(spark, model):
     rows = spark.createDataFrame([(None,), ([],), (model.worker().encode("so"),)], "ids array<int>")
     got = [bytes(r[0]) for r in rows.select(bpe.decode(model, F.col("ids"))).collect()]
     assert got == [b"", b"", b"so"]
+
+
+def test_each_text_is_encoded_once(spark):
+    """The ids and the bytes they decode to come from one call on the text, not from two."""
+    docs = spark.createDataFrame([(1, "one text"), (2, None), (3, "")], "doc_id long, text string")
+    model = bpe.ByteBPE({bytes([b]): b for b in range(256)}, r"\s+|\S+")
+    out = bpe.encoded(docs, model)
+    plan = bpe.digests(out)._jdf.queryExecution().executedPlan().toString()
+    calls = [line for line in plan.splitlines() if "ArrowEvalPython" in line]
+    assert len(calls) == 1 and calls[0].count("(text#") == 1
+    got = {r.doc_id: (r.ids, bytes(r.decoded)) for r in out.collect()}
+    assert got == {1: (list(b"one text"), b"one text"), 2: ([], b""), 3: ([], b"")}
