@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from shortfall.functions.dates import Period
 from shortfall.operators.waterfall import LOSSES
@@ -214,6 +215,28 @@ def test_literal_fanout_counts_orders_of_two_categories_twice(spark):
     assert once.lead_time.count() == once.lead_time.select("fsn", "fc").distinct().count()
 
 
+@pytest.mark.parametrize("seed", [14, 15])
+def test_literal_fanout_without_a_row_per_pair_and_centre(spark, monkeypatch, seed):
+    """The literal fan-outs as rows, added up by pair, equal the run, which makes none of the rows without an issue."""
+    from shortfall.operators import allocate, placement
+
+    tables = with_gaps_and_repeats(random_tables(seed), seed)
+    run = WeeklyRun(frames(spark, tables), PERIOD, WeeklyOptions(strict_fanout=True), stage=stage)
+    rows = allocate.cascade_losses(run.allocated, run.forecast_issue, run.override_issues, run.adherence_issue)
+    columns = [*allocate.CASCADE_LOSSES, "residual", "fsn_dp_fc_loss"]
+    want = rows.groupBy("fsn", "dest_pincode").agg(*[F.sum(c).alias(c) for c in columns])
+    keys = ["fsn", "dest_pincode", "fc"]
+    assert rows.count() > rows.select(*keys).distinct().count() > 0  # fan-outs there are
+    monkeypatch.setattr(placement, "supplied_fcs", None)
+    literal = WeeklyRun(frames(spark, tables), PERIOD, WeeklyOptions(strict_fanout=True), stage=stage)
+    as_rows = lambda df: {
+        (r.fsn, r.dest_pincode): tuple(round(r[c], 9) for c in columns) for r in df.collect()
+    }
+    got = as_rows(literal.cascaded)
+    assert got == as_rows(want) and got
+    assert literal.detail.count() > 0
+
+
 def test_unions_and_joins_give_the_same_losses(spark):
     from shortfall.operators.allocate import (
         allocate_to_fc, cascade_by_destination, cascade_losses, combine_losses, fe_loss,
