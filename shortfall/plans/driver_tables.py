@@ -342,10 +342,14 @@ class DriverTables:
         )
 
     def staged(self) -> DriverTables:
-        """The same tables with the derived sales lines written once, as a real
-        sales extract would be, instead of joined anew by every branch."""
+        """The same tables with the centres and the derived sales lines written
+        once, as a real extract would be, instead of joined anew by every branch.
+
+        Spark takes the size of a join for the product of its sides, so only
+        written centres show how few they are before line items are shuffled."""
         tables = type(self)(self.spark, self.sf_dir)
-        tables.sales = stage(self.sales, "sales")
+        tables.suppliers = stage(self.suppliers, "suppliers")
+        tables.sales = stage(tables.sales, "sales")
         return tables
 
     def run(self, staged: bool = False) -> WeeklyRun:

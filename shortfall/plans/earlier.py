@@ -43,7 +43,7 @@ class EarlierRun:
     """All frames of one run; each is built once, on first use.
 
     ``stage`` works as in the weekly run; it is applied to the frames several
-    branches need: placement matrix, blocked pairs, lead times and plan.
+    branches need: sold pairs and their sales, placement matrix, blocked pairs, lead times and plan.
     """
 
     def __init__(
@@ -58,13 +58,12 @@ class EarlierRun:
 
     @cached_property
     def sales_fsn_dp(self) -> DataFrame:
-        return prepare.sales_by_fsn_dp(self.inputs.sales)
+        return self._stage(prepare.sales_by_fsn_dp(self.inputs.sales), "sales_fsn_dp")
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return self.inputs.sales.select(
-            "fsn", "dest_pincode", "brand", "bu", "category", "vertical"
-        ).distinct()
+        sold = self.inputs.sales.select("fsn", "dest_pincode", "brand", "bu", "category", "vertical")
+        return self._stage(sold.distinct(), "sold_pairs")
 
     @cached_property
     def heavy(self) -> list[skew.HeavyKeys]:

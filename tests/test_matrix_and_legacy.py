@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from shortfall.functions.dates import Period
 from shortfall.operators import allocate, issues, legacy, matrix, prepare, waterfall, warehouse
+from shortfall.plans.earlier_tables import EarlierTables
 
 PERIOD = Period(dt.date(2017, 3, 5), dt.date(2017, 3, 11))
 CASCADE = [(f"c{k}", f"i{k}") for k in range(6)]
@@ -194,3 +195,33 @@ def test_table_sum_reads_the_written_plan(spark, rows):
 
     got = rows(issues.reco_at_lead_time(plan, lead, ("fsn", "fc"), "table_sum", stage), "fc")
     assert {k: v["forecast_qty"] for k, v in got.items()} == {"a": 1.0, "b": 3.0} and len(written) == 1
+
+
+def test_line_items_meet_written_centres_without_a_shuffle(spark, tmp_path):
+    """Written centres show their size, so no line item is shuffled by centre."""
+    make = lambda name, rows, kinds: spark.createDataFrame(rows, kinds).write.parquet(f"{tmp_path}/{name}.parquet")
+    day = dt.datetime(1998, 1, 5)
+    make("nation", [(0, "n", 0), (1, "m", 0)], "n_nationkey int, n_name string, n_regionkey int")
+    make("customer", [(1, 1)], "c_custkey long, c_nationkey int")
+    make("supplier", [(k, k % 2, 1.0) for k in range(40)], "s_suppkey long, s_nationkey int, s_acctbal double")
+    make("part", [(1, "v", "b", "t", 3)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int")
+    make("orders", [(1, 1, "O", day)], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz")
+    lines = spark.range(40_000).selectExpr(
+        "xxhash64(id) AS l_orderkey", "id % 5 AS l_partkey", "id % 40 AS l_suppkey", "1 AS l_linenumber",
+        "double(id % 7) AS l_quantity", "0.1D AS l_discount", "'R' AS l_returnflag", "'F' AS l_linestatus",
+        "TIMESTAMP_NTZ'1998-01-05' AS l_shipdate",
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    tables = EarlierTables(spark, str(tmp_path))
+    plans = []
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "256k")
+    try:
+        for t in (tables, tables.staged()):
+            joined = t.reco_file
+            plans.append(joined._jdf.queryExecution().executedPlan().toString())
+            assert joined.count() == 40_000 and t.leadtime_wide.count() == 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    by_centre = [sum("hashpartitioning(l_suppkey" in line for line in plan.splitlines()) for plan in plans]
+    assert by_centre == [2, 0]  # both sides of the join
