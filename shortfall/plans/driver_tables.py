@@ -8,6 +8,7 @@ week holds few rows at small scale.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -226,22 +227,24 @@ class DriverTables:
             .select(F.col("p_partkey").alias("fsn"), until.alias("skip_upto"))
         )
 
+    def _planned_by(self, *keys: Column) -> DataFrame:
+        units = F.sum("l_quantity").cast("int").alias("q")
+        return self.table("lineitem").groupBy(*keys).agg(units)
+
     @cached_property
     def planned_units(self) -> DataFrame:
-        return (
-            self.table("lineitem")
-            .groupBy("l_partkey", "l_suppkey")
-            .agg(F.sum("l_quantity").cast("int").alias("q"))
-        )
+        return self._planned_by(F.col("l_partkey"), F.col("l_suppkey"))
 
     @cached_property
     def requirement(self) -> DataFrame:
-        """Plan per product and centre; forecasts shrink with the horizon."""
+        """Plan per product and centre; forecasts shrink with the horizon.
+
+        Added up by the centre's name, by which it is joined: the shuffle of the sum serves the joins."""
         q = F.col("q")
         steps = {"max_doh_qty": 3, "ipc_reviewed_qty": 5, "cdo_reviewed_qty": 7, "po_qty": 11}
-        return self.planned_units.select(
-            F.col("l_partkey").alias("fsn"),
-            text("l_suppkey").alias("warehouse"),
+        return self._planned_by(F.col("l_partkey").alias("fsn"), text("l_suppkey").alias("warehouse")).select(
+            "fsn",
+            "warehouse",
             q.alias("system_qty"),
             *[(q - q % m).alias(c) for c, m in steps.items()],
             (q % 20).alias("forecast_n"),
@@ -352,12 +355,17 @@ class DriverTables:
         tables.sales = stage(tables.sales, "sales")
         return tables
 
-    def run(self, staged: bool = False) -> WeeklyRun:
+    def run(self, staged: bool = False, written: Sequence[str] = ()) -> WeeklyRun:
+        """The run, with all its stages written (``staged``) or only those ``written`` names."""
         options = WeeklyOptions(
             sales_by="day", explain_by_week=False, reco_keys=("fsn", "fc")
         )
         if staged:
             return WeeklyRun(self.staged().inputs, PERIOD, options, stage)
+        if written:
+            return WeeklyRun(
+                self.inputs, PERIOD, options, lambda df, name: stage(df, name) if name in written else df
+            )
         return WeeklyRun(self.inputs, PERIOD, options)
 
     @cached_property
@@ -367,3 +375,8 @@ class DriverTables:
     @cached_property
     def weekly_staged(self) -> WeeklyRun:
         return self.run(staged=True)
+
+    @cached_property
+    def weekly_leads(self) -> WeeklyRun:
+        """For plans and orders together: both meet the lead times, which are written once."""
+        return self.run(written=["lead_time"])

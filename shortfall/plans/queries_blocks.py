@@ -292,9 +292,9 @@ query(
     lambda t: rel.join_chain(
         t.requirement.select("fsn", F.col("warehouse").alias("fc"), "system_qty"),
         [
-            t.weekly.fsn_vendors,
-            t.weekly.override_issues.select("fsn", "fc", "ndoh_issue"),
-            t.weekly.adherence_issue,
+            t.weekly_leads.fsn_vendors,
+            t.weekly_leads.override_issues.select("fsn", "fc", "ndoh_issue"),
+            t.weekly_leads.adherence_issue,
         ],
         ["fsn", "fc"],
     )
