@@ -9,7 +9,8 @@ prefix full of frequent tokens becomes longer and asks for more shared tokens.
 Texts with one set form a class; classes are the nodes of the join. No step
 pairs a class with all others of a bucket while they may still turn out to be
 connected: each class first tries the best leader among its buckets, and only
-classes of different components that remain in one bucket are then paired.
+classes of different components that remain in one bucket are then paired;
+those of one large group of near copies by what they do not share with it.
 """
 
 from __future__ import annotations
@@ -25,6 +26,14 @@ from pyspark.sql import functions as F
 
 from shortfall.llm.base import Store, arrow_rows
 from shortfall.llm.components import connected_components
+from shortfall.llm.differences import (
+    common_sets,
+    differences,
+    differing_pairs,
+    gathered,
+    links_to_least,
+    of_components,
+)
 from shortfall.llm.words import word_hashes
 
 EMPTY = np.empty(0, np.uint64)
@@ -68,6 +77,14 @@ def signed(hashes: np.ndarray) -> np.ndarray:
     return hashes.view(np.int64)
 
 
+def both_hold(some: np.ndarray, others: np.ndarray) -> int:
+    """How many hashes two sorted sets share."""
+    few, many = (some, others) if len(some) < len(others) else (others, some)
+    at = np.searchsorted(many, few)
+    at[at == len(many)] = 0
+    return int(np.count_nonzero(many[at] == few)) if len(many) else 0
+
+
 def needed(n: int, threshold: int) -> int:
     """Fewest shared tokens with any similar set."""
     return -(-threshold * n // 100)
@@ -254,14 +271,21 @@ def verified(pairs: DataFrame, texts: DataFrame, shingler: Shingler, threshold:
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "left", "right")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, last_set = None, set()
+        last, last_hashes, last_set = None, EMPTY, None
         for batch in slices(batches, 1000):
             a, b = [], []
             for x, y, left, right in zip(*(batch.column(i) for i in range(4))):
-                x, y = x.as_py(), y.as_py()
+                x, y, left = x.as_py(), y.as_py(), left.as_py()
                 if y != last:
-                    last, last_set = y, shingler.exact(right.as_py())
-                other = shingler.exact(left.as_py())
+                    last, last_hashes, last_set = y, shingler.hashes(right.as_py()), None
+                # most pairs fall short already by the hashes that made them candidates
+                hashes = shingler.hashes(left)
+                shared = both_hold(hashes, last_hashes)
+                if 100 * shared < threshold * (len(hashes) + len(last_hashes) - shared):
+                    continue
+                if last_set is None:
+                    last_set = shingler.exact(right.as_py())
+                other = shingler.exact(left)
                 shared = len(other & last_set)
                 if 100 * shared >= threshold * (len(other) + len(last_set) - shared):
                     a.append(x)
@@ -276,7 +300,7 @@ def verified(pairs: DataFrame, texts: DataFrame, shingler: Shingler, threshold:
 def best_leaders(rows: DataFrame, tries: int = 4) -> DataFrame:
     """For each class a few classes to try: leaders that most of its buckets name.
 
-    ``rows``: token, node, n, ask, inner, component. A bucket's leaders are a node of its
+    ``rows``: token, node, ask, inner, component. A bucket's leaders are a node of its
     lowest and one of its highest component, by a hash of node and token: so
     the buckets of a class name several members of a large component. Classes
     in fewer buckets than matches asked for try nothing. Linear in the rows.
@@ -305,33 +329,31 @@ def best_leaders(rows: DataFrame, tries: int = 4) -> DataFrame:
     ).distinct()
 
 
-def remaining_pairs(rows: DataFrame, threshold: int) -> DataFrame:
-    """All candidate pairs of classes that are still in different components.
+def remaining_pairs(
+    rows: DataFrame, apart: DataFrame, classes: DataFrame, store: Store, threshold: int
+) -> DataFrame:
+    """All candidate pairs of classes that are still in different components, but for those of one group of ``apart``.
 
-    In each bucket the rows outside its largest component meet all others, so
-    the largest component is never paired with itself.
+    In each bucket the rows outside its largest part, a group or else a component, meet all
+    others, so the largest part is never paired with itself.
     """
-    # a class needs as many buckets as the least that any pair in them asks for
-    asked = rows.groupBy("token").agg(F.min("ask").alias("least"))
-    enough = (
-        rows.join(asked, "token").groupBy("node")
-        .agg(F.count(F.lit(1)).alias("met"), F.min("least").alias("least")).filter("met >= least")
-    )
-    rows = rows.join(enough.select("node"), "node")
-    sizes = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.groupBy("token").agg(
-        F.max_by("component", F.struct("size", "component")).alias("largest")
-    )
+    # a centre's low bit sets it off from components
+    groups = apart.select("node", (F.col("centre") + 1).alias("group"))
+    rows = rows.join(groups, "node", "left").withColumn("part", F.coalesce("group", "component"))
+    rows = enough(rows, "part")
+    rows = store.put(rows.join(classes.select("node", "n"), "node"))
+    sizes = rows.groupBy("token", "part").agg(F.count(F.lit(1)).alias("size"))
+    largest = sizes.groupBy("token").agg(F.max_by("part", F.struct("size", "part")).alias("largest"))
     rows = rows.join(largest, "token")
     other = rows.select(
-        "token", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "ask", "component", "largest")]
+        "token", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "ask", "component", "part", "largest")]
     )
     # the smaller of two sets meets the larger by its inner tokens
-    smaller = "component != o_component and (n < o_n or n = o_n and node < o_node) and 100 * n >= {} * o_n"
+    smaller = "component != o_component and part != o_part and (n < o_n or n = o_n and node < o_node) and 100 * n >= {} * o_n"
     smaller = smaller.format(threshold)
     inner = rows.filter("inner")
-    met = inner.filter("component != largest").join(other, "token").filter(smaller).unionByName(
-        inner.filter("component = largest").join(other.filter("o_component != o_largest"), "token").filter(smaller)
+    met = inner.filter("part != largest").join(other, "token").filter(smaller).unionByName(
+        inner.filter("part = largest").join(other.filter("o_part != o_largest"), "token").filter(smaller)
     )
     counted = met.groupBy("node", "n", "ask", "o_node", "o_n", "o_ask").agg(
         F.count(F.lit(1)).alias("shared")
@@ -345,17 +367,43 @@ def remaining_pairs(rows: DataFrame, threshold: int) -> DataFrame:
     ).select(F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b"))
 
 
+def grouped_apart(
+    docs: DataFrame, rows: DataFrame, classes: DataFrame, store: Store, shingler: Shingler,
+    threshold: int, least: int = 32, sample: int = 24,
+) -> DataFrame:
+    """The differences of the classes in groups of ``least`` or more, from one text of each.
+
+    Both numbers only decide which pairs are compared by differences, not what links.
+    """
+    members = store.put(gathered(rows.join(classes.select("node", "n"), "node"), least))
+    texts = texts_of(docs, members.select(F.col("node").alias("a"), F.col("node").alias("b")), classes, store)
+    common = store.put(common_sets(members, texts, shingler, least, sample))
+    apart = store.put(differences(members, texts, common, shingler, threshold))
+    store.drop(texts)
+    return apart
+
+
 def with_components(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Bucket rows with their component, without buckets that lie in one component."""
+    """Bucket rows with their component, without those that no pair of two components needs."""
+    rows = rows.select("token", "node", "ask", "inner")
     if labels is None:
         rows = rows.withColumn("component", F.col("node"))
     else:
-        rows = rows.join(labels, "node", "left").withColumn("component", F.coalesce("root", "node"))
-    rows = rows.select("token", "node", "n", "ask", "inner", "component")
+        rows = rows.join(labels, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
+    return enough(rows, "component")
+
+
+def enough(rows: DataFrame, part: str) -> DataFrame:
+    """Bucket rows without buckets that lie in one part, and without classes that then meet no other often enough.
+
+    A class needs as many buckets as the least that any pair in them asks for.
+    """
     mixed = rows.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    return rows.join(mixed.filter("low != high").select("token"), "token")
+        F.min(part).alias("low"), F.max(part).alias("high"), F.min("ask").alias("least")
+    ).filter("low != high")
+    rows = rows.join(mixed.select("token", "least"), "token")
+    met = rows.groupBy("node").agg(F.count(F.lit(1)).alias("met"), F.min("least").alias("least"))
+    return rows.drop("least").join(met.filter("met >= least").select("node"), "node")
 
 
 def jaccard_groups(
@@ -426,23 +474,31 @@ def grouped(
             F.col("node").bitwiseAND(F.lit(7)).cast("int").alias("ask"),
             (F.col("node").bitwiseAND(F.lit(8)) != 0).alias("inner"),
         )
-        .join(classes.select("node", "n"), "node")
     )
 
-    links, labels = None, None
-    for turn in range(leader_rounds + 1):
-        rows = store.put(with_components(buckets, labels))
+    links, labels, apart, rows = None, None, None, buckets
+    for turn in range(leader_rounds + 2):
+        # components only grow, so what the last round left out stays out
+        before, rows = rows, store.put(with_components(rows, labels))
+        store.drop(before)
         if rows.isEmpty():
             break
-        last = turn == leader_rounds
-        pairs = store.put(of_like_size(remaining_pairs(rows, threshold) if last else best_leaders(rows), classes, threshold))
+        if turn < leader_rounds:
+            pairs = best_leaders(rows)
+        elif turn == leader_rounds:
+            apart = grouped_apart(keyed, rows, classes, store, shingler, threshold)
+            pairs = links_to_least(of_components(apart, labels))
+        else:
+            pairs = remaining_pairs(rows, apart, classes, store, threshold).unionByName(
+                differing_pairs(of_components(apart, labels), store, threshold)
+            )
+        pairs = store.put(of_like_size(pairs, classes, threshold))
         if not pairs.isEmpty():
             texts = texts_of(keyed, pairs, classes, store)
             found = store.put(verified(pairs, texts, shingler, threshold))
             links = found if links is None else links.unionByName(found)
             labels = connected_components(links, store)
             store.drop(texts)
-        store.drop(rows)
 
     classes = classes.select("node", "component_id").withColumn("component", F.col("node"))
     if labels is not None:
