@@ -330,18 +330,20 @@ def best_leaders(rows: DataFrame, tries: int = 4) -> DataFrame:
 
 
 def remaining_pairs(
-    rows: DataFrame, apart: DataFrame, classes: DataFrame, store: Store, threshold: int
+    rows: DataFrame, apart: DataFrame | None, classes: DataFrame, store: Store, threshold: int
 ) -> DataFrame:
     """All candidate pairs of classes that are still in different components, but for those of one group of ``apart``.
 
     In each bucket the rows outside its largest part, a group or else a component, meet all
     others, so the largest part is never paired with itself.
     """
-    # a centre's low bit sets it off from components
-    groups = apart.select("node", (F.col("centre") + 1).alias("group"))
-    rows = rows.join(groups, "node", "left").withColumn("part", F.coalesce("group", "component"))
-    rows = enough(rows, "part")
-    rows = store.put(rows.join(classes.select("node", "n"), "node"))
+    if apart is None:
+        rows = rows.withColumn("part", F.col("component"))
+    else:
+        # a centre's low bit sets it off from components
+        groups = apart.select("node", (F.col("centre") + 1).alias("group"))
+        rows = rows.join(groups, "node", "left").withColumn("part", F.coalesce("group", "component"))
+    rows = store.put(enough(rows).join(classes.select("node", "n"), "node"))
     sizes = rows.groupBy("token", "part").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("token").agg(F.max_by("part", F.struct("size", "part")).alias("largest"))
     rows = rows.join(largest, "token")
@@ -384,22 +386,25 @@ def grouped_apart(
 
 
 def with_components(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Bucket rows with their component, without those that no pair of two components needs."""
+    """Bucket rows with their component, without buckets that lie in one component."""
     rows = rows.select("token", "node", "ask", "inner")
     if labels is None:
         rows = rows.withColumn("component", F.col("node"))
     else:
         rows = rows.join(labels, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
-    return enough(rows, "component")
+    mixed = rows.groupBy("token").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    return rows.join(mixed.filter("low != high").select("token"), "token")
 
 
-def enough(rows: DataFrame, part: str) -> DataFrame:
+def enough(rows: DataFrame) -> DataFrame:
     """Bucket rows without buckets that lie in one part, and without classes that then meet no other often enough.
 
     A class needs as many buckets as the least that any pair in them asks for.
     """
     mixed = rows.groupBy("token").agg(
-        F.min(part).alias("low"), F.max(part).alias("high"), F.min("ask").alias("least")
+        F.min("part").alias("low"), F.max("part").alias("high"), F.min("ask").alias("least")
     ).filter("low != high")
     rows = rows.join(mixed.select("token", "least"), "token")
     met = rows.groupBy("node").agg(F.count(F.lit(1)).alias("met"), F.min("least").alias("least"))
@@ -477,7 +482,7 @@ def grouped(
     )
 
     links, labels, apart, rows = None, None, None, buckets
-    for turn in range(leader_rounds + 2):
+    for turn in range(leader_rounds + 1):
         # components only grow, so what the last round left out stays out
         before, rows = rows, store.put(with_components(rows, labels))
         store.drop(before)
@@ -485,13 +490,13 @@ def grouped(
             break
         if turn < leader_rounds:
             pairs = best_leaders(rows)
-        elif turn == leader_rounds:
-            apart = grouped_apart(keyed, rows, classes, store, shingler, threshold)
-            pairs = links_to_least(of_components(apart, labels))
+            if turn == leader_rounds - 1:
+                apart = grouped_apart(keyed, rows, classes, store, shingler, threshold)
+                pairs = pairs.unionByName(links_to_least(of_components(apart, labels))).distinct()
         else:
-            pairs = remaining_pairs(rows, apart, classes, store, threshold).unionByName(
-                differing_pairs(of_components(apart, labels), store, threshold)
-            )
+            pairs = remaining_pairs(rows, apart, classes, store, threshold)
+            if apart is not None:
+                pairs = pairs.unionByName(differing_pairs(of_components(apart, labels), store, threshold))
         pairs = store.put(of_like_size(pairs, classes, threshold))
         if not pairs.isEmpty():
             texts = texts_of(keyed, pairs, classes, store)
