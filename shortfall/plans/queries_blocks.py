@@ -13,7 +13,7 @@ from shortfall.operators import relational as rel
 from shortfall.operators.prepare import sales_by
 from shortfall.plans.driver_tables import PERIOD
 from shortfall.plans.earlier import plan_file_anchor, plan_of_files
-from shortfall.plans.registry import query, rounded
+from shortfall.plans.registry import Presented, presentable, query, rounded
 from shortfall.sources import files
 from shortfall.sources.schemas import SCHEMAS
 from shortfall.sources.stage import new_path, stage
@@ -245,10 +245,13 @@ query(
         COALESCE(r.fc, u.fc) AS fc, {rounded(['ratio'])}, u.nat_sales
         FROM d_ratio r FULL JOIN d_fsn_dp_fc u ON u.fsn = r.fsn AND u.dest_pincode = r.dest_pincode AND u.fc = r.fc""",
 )(
-    lambda t: centres.ratio_full_join(
-        t.weekly_staged.centre_sets,
-        t.weekly_staged.near_centres,
-        t.weekly_staged.sales_fsn_dp_fc.select("fsn", "dest_pincode", "fc", "nat_sales"),
+    lambda t: Presented(
+        centres.ratio_full_join(
+            t.weekly_staged.centre_sets,
+            t.weekly_staged.near_centres,
+            t.weekly_staged.sales_fsn_dp_fc.select("fsn", "dest_pincode", "fc", "nat_sales"),
+            presentable,
+        )
     )
 )
 query(
